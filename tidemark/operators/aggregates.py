@@ -270,9 +270,16 @@ def aggregate_buckets(
     window: RefreshWindow,
     dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
+    dense: bool | None = None,
 ) -> DataFrame:
-    """Aggregates of the buckets ``rows`` fall in, with neighbours from both."""
-    if tw.largest_bucket(rows, SERIES) > dense_limit:
+    """Aggregates of the buckets ``rows`` fall in, with neighbours from both.
+
+    ``dense`` says whether a bucket exceeds ``dense_limit``; unless known it is
+    counted first.
+    """
+    if dense is None:
+        dense = tw.largest_bucket(rows, SERIES) > dense_limit
+    if dense:
         buckets = bucket_rows_dense(rows, window, dense_limit)
     else:
         buckets = bucket_rows(rows, window)

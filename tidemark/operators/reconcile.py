@@ -211,8 +211,12 @@ def reconcile_buckets(
     window: RefreshWindow,
     dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
+    dense: bool | None = None,
 ) -> DataFrame:
-    if tw.largest_bucket(rows, ["device_id"]) > dense_limit:
+    """Reconciliation of the buckets ``rows`` fall in, with neighbours from both."""
+    if dense is None:
+        dense = tw.largest_bucket(rows, ["device_id"]) > dense_limit
+    if dense:
         buckets = bucket_rows_dense(rows, window)
     else:
         buckets = bucket_rows(rows, window)
