@@ -34,29 +34,47 @@ def _open_window(width: str, reference_time: datetime | str) -> agg.RefreshWindo
     return agg.RefreshWindow(width_us, None, far - far % width_us, clock.to_us(reference_time))
 
 
-def update_edges(store: Store, messages: DataFrame, relay: DataFrame) -> None:
-    """First and last samples of the 3-minute buckets an ingest batch touched,
-    read back from the raw tables."""
-    rows = agg.series_rows(messages, EDGE_WIDTH_US).where("v IS NOT NULL")
-    touched = cut_lineage(rows.select(*agg.CELL).distinct())
-    raw = store.read("messages").where(F.col("received_date").isin(_days(touched)))
-    edges = tw.nearest_samples(
-        agg.series_rows(raw, EDGE_WIDTH_US).join(touched, list(agg.CELL), "left_semi"), agg.CELL
+def edge_cells(store: Store, messages: DataFrame, relay: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The 3-minute buckets in which messages or relay events lie."""
+    sampled = agg.series_rows(messages, EDGE_WIDTH_US).where("v IS NOT NULL")
+    switched = _relay_rows(store, relay)
+    return (
+        cut_lineage(sampled.select(*agg.CELL).distinct()),
+        cut_lineage(switched.select(*rec.CELL).distinct()),
     )
-    store.upsert(edges, "sample_edges")
 
-    switched = cut_lineage(
-        rec.signal_rows(store.read("messages").limit(0), relay, EDGE_WIDTH_US)
-        .select(*rec.CELL)
-        .distinct()
-    )
-    events = store.read("relay_state_events").where(F.col("event_date").isin(_days(switched)))
-    states = rec.signal_rows(store.read("messages").limit(0), events, EDGE_WIDTH_US).join(
-        switched, list(rec.CELL), "left_semi"
-    )
-    store.upsert(
-        tw.nearest_samples(states, rec.CELL).withColumn("metric_name", F.lit("relay")), "relay_edges"
-    )
+
+def _relay_rows(store: Store, relay: DataFrame) -> DataFrame:
+    return rec.signal_rows(store.read("messages").limit(0), relay, EDGE_WIDTH_US)
+
+
+def rebuild_edges(store: Store, sampled: DataFrame, switched: DataFrame) -> None:
+    """First and last samples of the given 3-minute buckets, read back from the
+    raw tables; buckets that lost all samples lose their row."""
+    days = _days(sampled)
+    raw = store.read("messages").where(F.col("received_date").isin(days))
+    rows = agg.series_rows(raw, EDGE_WIDTH_US).join(sampled, list(agg.CELL), "left_semi")
+    _replace_edges(store, "sample_edges", tw.nearest_samples(rows, agg.CELL), sampled, agg.CELL, days)
+
+    days = _days(switched)
+    events = store.read("relay_state_events").where(F.col("event_date").isin(days))
+    rows = _relay_rows(store, events).join(switched, list(rec.CELL), "left_semi")
+    edges = tw.nearest_samples(rows, rec.CELL).withColumn("metric_name", F.lit("relay"))
+    _replace_edges(store, "relay_edges", edges, switched, rec.CELL, days)
+
+
+def _replace_edges(store, name, edges, cells, keys, days) -> None:
+    old = store.read(name).where(F.col("bucket_date").isin(days))
+    kept = old.join(cells, list(keys), "left_anti").drop("bucket_date")
+    result = cut_lineage(kept.unionByName(edges))
+    store.replace_partitions(result, name)
+    emptied = {str(d) for d in days} - {str(d) for d in _days(result)}
+    store.drop_partitions(name, "bucket_date", lambda day: day not in emptied)
+
+
+def update_edges(store: Store, messages: DataFrame, relay: DataFrame) -> None:
+    """Bring the edges of an appended batch's buckets up to date."""
+    rebuild_edges(store, *edge_cells(store, messages, relay))
 
 
 def _wider(edges: DataFrame, width_us: int) -> DataFrame:

@@ -191,10 +191,13 @@ class Store:
         return dropped
 
     def prune_raw(self, reference_time: datetime | str, months: int = RETENTION_MONTHS) -> None:
-        """Drop raw day partitions past retention. Derived rows stay."""
+        """Drop raw day partitions past retention, and the neighbour samples of
+        those days. Aggregates and reconciliation stay."""
         first = oldest_day(reference_time, months)
         self.drop_partitions("messages", "received_date", lambda day: day >= first)
         self.drop_partitions("relay_state_events", "event_date", lambda day: day >= first)
+        for edges in ("sample_edges", "relay_edges"):
+            self.drop_partitions(edges, "bucket_date", lambda day: day >= first)
 
     def missing_tables(self, names: Sequence[str]) -> list[str]:
         return [n for n in names if not self.exists(n)]
