@@ -22,20 +22,15 @@ def _meter_topic(metric: str) -> str:
         concat('shellies/', device_id, '/relay/0/{metric}'))"""
 
 
-def signal_rows(messages: DataFrame, relay: DataFrame, width_us: int) -> DataFrame:
-    """Power, energy and relay samples in one narrow shape.
-
-    A relay state is the signal 1.0 (on) or 0.0 (off). Of several relay events at
-    one instant the one committed last is in force, of several meter samples the
-    first counts. A power message on the device's energy topic (or the reverse)
-    opens a bucket but carries no sample.
-    """
+def meter_rows(messages: DataFrame) -> DataFrame:
+    """Power and energy samples. A power message on the device's energy topic (or
+    the reverse) opens a bucket but carries no sample."""
     metered = messages.where(f"""device_id IS NOT NULL AND metric_name IN ('power', 'energy')
         AND ({_meter_topic('power')} OR {_meter_topic('energy')})""")
     own_topic = " OR ".join(
         f"(metric_name = '{m}' AND {_meter_topic(m)})" for m in ("power", "energy")
     )
-    meter_rows = metered.selectExpr(
+    return metered.selectExpr(
         "device_id",
         "metric_name AS signal",
         "topic",
@@ -43,7 +38,12 @@ def signal_rows(messages: DataFrame, relay: DataFrame, width_us: int) -> DataFra
         "unix_micros(received_at) AS t_us",
         "unix_micros(committed_at) AS tie_us",
     )
-    relay_rows = relay.where("relay_index = 0 AND device_id IS NOT NULL").selectExpr(
+
+
+def relay_rows(relay: DataFrame) -> DataFrame:
+    """Events of relay 0 as the signal 1.0 (on) or 0.0 (off). The tie order is
+    reversed: of several events at one instant the one committed last holds."""
+    return relay.where("relay_index = 0 AND device_id IS NOT NULL").selectExpr(
         "device_id",
         "'relay' AS signal",
         "CAST(NULL AS STRING) AS topic",
@@ -51,9 +51,15 @@ def signal_rows(messages: DataFrame, relay: DataFrame, width_us: int) -> DataFra
         "unix_micros(event_at) AS t_us",
         "-unix_micros(committed_at) AS tie_us",
     )
-    return tw.add_columns(
-        meter_rows.unionByName(relay_rows), {"bucket_us": f"t_us - pmod(t_us, {width_us}L)"}
-    )
+
+
+def in_buckets(rows: DataFrame, width_us: int) -> DataFrame:
+    return tw.add_columns(rows, {"bucket_us": f"t_us - pmod(t_us, {width_us}L)"})
+
+
+def signal_rows(messages: DataFrame, relay: DataFrame, width_us: int) -> DataFrame:
+    """The samples of all three signals in one narrow shape."""
+    return in_buckets(meter_rows(messages).unionByName(relay_rows(relay)), width_us)
 
 
 def _counts(window: RefreshWindow) -> list[Column]:

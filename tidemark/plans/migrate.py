@@ -254,7 +254,6 @@ class Migration:
         """Drop raw rows by ingest tag, and the neighbour samples they lent."""
         tagged = F.col("ingest_batch").startswith(prefix)
         cells = edge_cells(
-            self.store,
             self.store.read("messages").where(tagged),
             self.store.read("relay_state_events").where(tagged),
         )

@@ -34,20 +34,16 @@ def _open_window(width: str, reference_time: datetime | str) -> agg.RefreshWindo
     return agg.RefreshWindow(width_us, None, far - far % width_us, clock.to_us(reference_time))
 
 
-def edge_cells(store: Store, messages: DataFrame, relay: DataFrame) -> tuple[DataFrame, DataFrame]:
+def edge_cells(messages: DataFrame, relay: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The 3-minute buckets in which messages or relay events lie."""
     sampled = agg.series_rows(messages, EDGE_WIDTH_US).where("v IS NOT NULL")
-    switched = _relay_rows(store, relay)
+    switched = rec.in_buckets(rec.relay_rows(relay), EDGE_WIDTH_US)
     return (
         cut_lineage(sampled.select(*agg.CELL).distinct()),
         cut_lineage(switched.select(*rec.CELL).distinct()),
     )
 
 
-def _relay_rows(store: Store, relay: DataFrame) -> DataFrame:
-    return rec.signal_rows(store.read("messages").limit(0), relay, EDGE_WIDTH_US)
-
-
 def rebuild_edges(store: Store, sampled: DataFrame, switched: DataFrame) -> None:
     """First and last samples of the given 3-minute buckets, read back from the
     raw tables; buckets that lost all samples lose their row."""
@@ -58,7 +54,9 @@ def rebuild_edges(store: Store, sampled: DataFrame, switched: DataFrame) -> None
 
     days = _days(switched)
     events = store.read("relay_state_events").where(F.col("event_date").isin(days))
-    rows = _relay_rows(store, events).join(switched, list(rec.CELL), "left_semi")
+    rows = rec.in_buckets(rec.relay_rows(events), EDGE_WIDTH_US).join(
+        switched, list(rec.CELL), "left_semi"
+    )
     edges = tw.nearest_samples(rows, rec.CELL).withColumn("metric_name", F.lit("relay"))
     _replace_edges(store, "relay_edges", edges, switched, rec.CELL, days)
 
@@ -74,7 +72,7 @@ def _replace_edges(store, name, edges, cells, keys, days) -> None:
 
 def update_edges(store: Store, messages: DataFrame, relay: DataFrame) -> None:
     """Bring the edges of an appended batch's buckets up to date."""
-    rebuild_edges(store, *edge_cells(store, messages, relay))
+    rebuild_edges(store, *edge_cells(messages, relay))
 
 
 def _wider(edges: DataFrame, width_us: int) -> DataFrame:
