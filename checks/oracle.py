@@ -94,13 +94,15 @@ def _sql(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
-def _round(columns: list[str], schema) -> str:
+def _round(columns: list[str], schema, report: bool = False) -> str:
+    """Rounded output columns; reports round to six decimals of their own."""
     kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
 
     def one(c: str) -> str:
         if kinds[c] == "double":
             digits, nudge = rounding(c)
-            return f"round({c} + {nudge}, {digits}) + 0.0 AS {c}"
+            shown = f"round({c}, 6)" if report else c
+            return f"round({shown} + {nudge}, {digits}) + 0.0 AS {c}"
         if kinds[c] == "array<string>":
             return f"array_to_string({c}, ',') AS {c}"
         return c
@@ -344,7 +346,7 @@ def _latest_aggregates(width: str) -> str:
     shown = [c for c in AGGREGATE.fieldNames() if c not in ("first_received_at", "last_received_at")]
     return aggregates(
         width,
-        tail=f"""SELECT {_round(shown, AGGREGATE)} FROM final
+        tail=f"""SELECT {_round(shown, AGGREGATE, True)} FROM final
 ORDER BY bucket_start DESC, device_id, metric_name, topic LIMIT 20""",
     )
 
@@ -487,7 +489,7 @@ FROM typed WHERE NOT malformed ORDER BY received_at DESC, committed_at DESC LIMI
     **{f"latest_aggregates_{w}": _latest_aggregates(w) for w in WIDTHS},
     "latest_reconciliation_3m": reconciliation(
         "3m",
-        tail=f"""SELECT {_round(RECONCILIATION.fieldNames(), RECONCILIATION)} FROM final
+        tail=f"""SELECT {_round(RECONCILIATION.fieldNames(), RECONCILIATION, True)} FROM final
 ORDER BY bucket_start DESC, device_id LIMIT 20""",
     ),
     "latest_topics": _sql(

@@ -14,6 +14,7 @@ from tidemark.functions import clock
 from tidemark.operators import contracts, migration, normalize, reports, rules
 from tidemark.operators.aggregates import message_aggregates
 from tidemark.operators.reconcile import power_energy_reconciliation
+from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.retention import within_retention
 
 REF = fx.REFERENCE_TIME
@@ -171,7 +172,9 @@ def _rule_rows(spark, sf_dir) -> DataFrame:
 
 
 def _rules(spark, sf_dir) -> DataFrame:
-    return rules.import_rules(spark.createDataFrame([], schemas.TOPIC_RULE), _rule_rows(spark, sf_dir))
+    """The rule table; like the staged rows below it is stored between steps."""
+    none = spark.createDataFrame([], schemas.TOPIC_RULE)
+    return cut_lineage(rules.import_rules(none, _rule_rows(spark, sf_dir)))
 
 
 def _staged(spark, sf_dir, bounds=(None, None)) -> DataFrame:
@@ -183,7 +186,7 @@ def _staged(spark, sf_dir, bounds=(None, None)) -> DataFrame:
 
 
 def _mapped(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
+    staged = cut_lineage(_staged(spark, sf_dir))
     topics = migration.stage_topics(fx.legacy_topics(spark, sf_dir), fx.BATCH_ID, "position")
     found = _rules(spark, sf_dir)
     return migration.apply_rules(staged, found, fx.ZONE), migration.apply_rules(topics, found)

@@ -7,6 +7,7 @@ that did not move keep theirs, so each stage can be repeated.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,11 +204,10 @@ def _already_loaded(candidates: DataFrame, existing: DataFrame, time_column: str
             F.expr("try_variant_get(_meta, '$[0].source_created_at', 'variant') IS NOT NULL"), F.lit(False)
         ).alias("_has_wall"),
     )
-    timed = loaded.where("_has_wall").select(*_SAME_ROW, "_wall").distinct()
-    untimed = loaded.where("NOT _has_wall").select(*_SAME_ROW).distinct()
-    return keyed.join(timed, [*_SAME_ROW, "_wall"], "left_anti").join(
-        untimed, _SAME_ROW, "left_anti"
-    )
+    c, e = keyed.alias("c"), loaded.distinct().alias("e")
+    twin = reduce(lambda x, y: x & y, [F.col(f"c.{k}") == F.col(f"e.{k}") for k in _SAME_ROW])
+    agrees = (F.col("c._wall") == F.col("e._wall")) | ~F.col("e._has_wall")
+    return c.join(e, twin & agrees, "left_anti").drop(*_SAME_ROW, "_wall")
 
 
 def message_candidates(staged: DataFrame, existing_messages: DataFrame) -> DataFrame:

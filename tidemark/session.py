@@ -37,6 +37,8 @@ def local_session(app: str = "tidemark", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        # Skips recording a Python stack per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
