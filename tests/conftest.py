@@ -12,7 +12,12 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cores="8")
+    # Tiny inputs, every plan run once: compiling stages costs more than it saves.
+    session = local_session(
+        "tests",
+        cores="8",
+        **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"},
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

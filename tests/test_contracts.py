@@ -44,3 +44,8 @@ def test_dependents_stop_at_the_nearest_sampled_bucket(spark):
     touched = spark.createDataFrame([("d", 5)], "k string, bucket_us long")
     got = sorted(r.bucket_us for r in with_dependents(touched, known, ("k",)).collect())
     assert got == [4, 5, 6]
+
+
+def test_batch_status_domain(spark):
+    rows = spark.createDataFrame([("loaded",), ("lost",)], "status string")
+    assert violations(contracts.batch_checks(rows)) == {"status_domain": 1}

@@ -98,3 +98,14 @@ def test_own_metadata_wins_over_provenance(spark):
     ).select(migration.provenance(F.lit("2024-01-02").cast("timestamp"))).first()[0]
     out = json.loads(row)
     assert (out["source_table"], out["extra"], out["source_unit"], out["migration_batch_id"]) == ("mine", "1", None, "3")
+
+
+def test_device_table_from_csv(spark, tmp_path):
+    path = tmp_path / "devices.csv"
+    path.write_text(
+        "<new-mqtt-device-name>,<old-mqtt-device-name>,<very-old-mqtt-device-name>,<not-in-use>,notes\n"
+        'new-1,old-1,,,"one, quoted"\nnew-2,/old-2/,shellies/older-2,,\nnew-3,old-3,,x,\n'
+    )
+    out = rules.device_rules(rules.read_device_table(spark, str(path)))
+    assert out.count() == 1 + 9 + 18
+    assert out.where(r"source_pattern = '^shellies/shellies/older\\-2/(.*)$'").count() == 9

@@ -1,4 +1,4 @@
-"""Time columns as integer microseconds, and fixed-width buckets on them."""
+"""Time columns as integer microseconds, and wall-clock conversion."""
 
 from __future__ import annotations
 
@@ -19,12 +19,6 @@ def instant(us: Column | str) -> Column:
     return F.timestamp_micros(F.col(us) if isinstance(us, str) else us)
 
 
-def bucket_us(us: Column | str, width_us: int) -> Column:
-    """Start of the epoch-aligned bucket (all widths divide a day)."""
-    us = F.col(us) if isinstance(us, str) else us
-    return us - F.pmod(us, F.lit(width_us))
-
-
 def to_us(moment: datetime | str) -> int:
     """Driver-side instant in microseconds; naive values are UTC."""
     if isinstance(moment, str):
