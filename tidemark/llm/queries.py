@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), simhash.hex_fingerprint().alias("fingerprint"), "component_id"
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
 }
 
