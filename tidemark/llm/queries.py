@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, simhash
+from tidemark.llm import exact_dedup, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_rules(_documents(spark, sf_dir))
+    return found.drop("rejected_by").withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select(
@@ -28,6 +33,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
 }
