@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality_rules, simhash
+from tidemark.llm import exact_dedup, mixing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +32,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixture(_documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 SQL: dict[str, str] = {
@@ -46,4 +52,38 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY body)""",
+    "op7_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS bound,
+                   [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sized GROUP BY source),
+        levels AS (
+            SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::BIGINT
+                       - coalesce(sum(bound) OVER below, 0)::BIGINT) / (sum(weight) OVER above)::BIGINT AS level
+            FROM sources
+            WINDOW below AS (ORDER BY bound::DOUBLE / weight, source NULLS LAST
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   above AS (ORDER BY bound::DOUBLE / weight, source NULLS LAST
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        wanted AS (
+            SELECT source, source_size, least(bound::DOUBLE, max(level) OVER () * weight) AS target,
+                   ('0x' || substr(md5('11:' || coalesce('=' || source, 'null')), 1, 5))::BIGINT
+                       / 1048576::DOUBLE AS start
+            FROM levels),
+        ranked AS (
+            SELECT doc_id, source, size,
+                   row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS place
+            FROM sized),
+        placed AS (
+            SELECT r.*, w.source_size, w.target, w.start,
+                   CASE WHEN w.source_size > 0 THEN w.target / w.source_size ELSE 0 END AS rate
+            FROM ranked r JOIN wanted w ON r.source IS NOT DISTINCT FROM w.source),
+        taken AS (
+            SELECT *, (floor(start + place * rate) - floor(start + (place - 1) * rate))::BIGINT AS copies
+            FROM placed)
+        SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken""",
 }
