@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, quality_rules, simhash
+from tidemark.llm import exact_dedup, importance, mixing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,11 +37,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = importance.importance_resampling(_documents(spark, sf_dir), labels)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_mixing": op7_mixing,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 SQL: dict[str, str] = {
