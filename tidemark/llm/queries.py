@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, mixing, quality_rules, simhash
+from tidemark.llm import exact_dedup, importance, mixing, packing, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("rejected_by").withColumnRenamed("id", "doc_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select(
@@ -45,6 +49,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_mixing": op7_mixing,

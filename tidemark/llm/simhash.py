@@ -154,6 +154,8 @@ def near_duplicates(
     labels = nodes.join(linked, "fp", "left").select(
         "fp", F.when(F.col("in_component"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
     )
+    # Written, so that the last join has an exchange on either side and a hot fingerprint can be split.
+    labels = written(labels, "simhash-labels")
     return rows.join(labels, "fp").select("id", "fp", "component_id")
 
 
