@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, mixing, packing, quality_rules, simhash
+from tidemark.llm import exact_dedup, importance, mixing, packing, quality_rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,19 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.sharded(_documents(spark, sf_dir), shards=8)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixture(_documents(spark, sf_dir))
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
@@ -52,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op10_importance_resampling": op10_importance_resampling,
 }
