@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, mixing, packing, quality_rules, sharding, simhash
+from tidemark.llm import exact_dedup, importance, mixing, packing, pii, quality_rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_documents(spark, sf_dir))
+    return pii.span_digest(found).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select(
@@ -63,6 +68,7 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_personal_data": op3_personal_data,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
