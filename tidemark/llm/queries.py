@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, mixing, packing, pii, quality_rules, sharding, simhash
+from tidemark.llm import exact_dedup, importance, mixing, packing, pii, quality_rules, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(_documents(spark, sf_dir))
+    return secrets.span_digest(found).withColumnRenamed("id", "doc_id")
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = importance.importance_resampling(_documents(spark, sf_dir), labels)
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op8_secrets": op8_secrets,
     "op10_importance_resampling": op10_importance_resampling,
 }
 
