@@ -53,3 +53,60 @@ def unique_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def running(values: Column, kind: str, plus: Callable[[Column, Column], Column], chunk: int = 64) -> Column:
+    """Inclusive running totals of an array that is not empty, under an associative ``plus`` with 0.
+
+    Appending to an array copies it, so totals are taken in chunks first.
+    """
+
+    def totals(x: Column, first: Column) -> Column:
+        start = F.struct(first.alias("s"), F.array().cast(f"array<{kind}>").alias("out"))
+
+        def step(acc: Column, v: Column) -> Column:
+            return bind(plus(acc["s"], v), lambda s: F.struct(s.alias("s"), F.concat(acc["out"], F.array(s)).alias("out")))
+
+        return F.aggregate(x, start, step, lambda acc: acc["out"])
+
+    zero = F.lit(0).cast(kind)
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / chunk).cast("int")),
+        lambda c: F.slice(values, c * chunk + 1, chunk),
+    )
+    return bind(
+        chunks,
+        lambda parts: bind(
+            F.concat(F.array(zero), totals(F.transform(parts, lambda x: F.aggregate(x, zero, plus)), zero)),
+            lambda starts: F.flatten(F.transform(parts, lambda x, i: totals(x, F.get(starts, i)))),
+        ),
+    )
+
+
+# A bitmap of 2^25 bits: 4 MB to broadcast, whatever the corpus.
+FILTER_BITS = 25
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
+    """The ``rows`` whose long ``key`` may be among ``keys``; the others certainly are not.
+
+    The keys are hashed to a bitmap of fixed size, which is broadcast. A bit that belongs to
+    another key only lets a row through in vain.
+    """
+    slot, page, at, bits = (unique_name(rows, c) for c in ("_slot", "_page", "_at", "_bits"))
+    spot = F.pmod(F.col(key), F.lit(1 << FILTER_BITS))
+    marks = (
+        keys.select(spot.alias(slot))
+        .groupBy(F.expr(f"bitmap_bucket_number({slot})").alias(page))
+        .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({slot}))").alias(bits))
+    )
+    byte = F.conv(F.hex(F.expr(f"substring({bits}, CAST({at} DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr(f"shiftleft(1, CAST({at} % 8 AS INT))"))
+    return (
+        rows.withColumn(slot, spot)
+        .withColumn(page, F.expr(f"bitmap_bucket_number({slot})"))
+        .withColumn(at, F.expr(f"bitmap_bit_position({slot})"))
+        .join(F.broadcast(marks), page)
+        .where(bit != 0)
+        .select(*rows.columns)
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, mixing, packing, pii, quality_rules, secrets, sharding, simhash
+from tidemark.llm import exact_dedup, importance, line_dedup, mixing, packing, pii, quality_rules, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digest(found).withColumnRenamed("id", "doc_id")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(_documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.array_join("dropped", ",").alias("dropped")
+    )
+
+
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = importance.importance_resampling(_documents(spark, sf_dir), labels)
@@ -79,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_line_dedup": op9_line_dedup,
     "op10_importance_resampling": op10_importance_resampling,
 }
 

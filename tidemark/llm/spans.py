@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bind
+from tidemark.llm.common import bind, running
 
 
 @dataclass(frozen=True)
@@ -30,33 +30,6 @@ class Kind:
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 
 
-def running_sums(values: Column, chunk: int = 64) -> Column:
-    """Inclusive prefix sums of an array that is not empty; by chunks, so that appending stays cheap."""
-
-    def total(x: Column) -> Column:
-        return F.aggregate(x, F.lit(0), lambda s, v: s + v)
-
-    def sums(x: Column, first: Column) -> Column:
-        start = F.struct(first.alias("s"), F.array().cast("array<int>").alias("out"))
-        return F.aggregate(
-            x,
-            start,
-            lambda acc, v: F.struct((acc["s"] + v).alias("s"), F.concat(acc["out"], F.array(acc["s"] + v)).alias("out")),
-            lambda acc: acc["out"],
-        )
-
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / chunk).cast("int")),
-        lambda c: F.slice(values, c * chunk + 1, chunk),
-    )
-    return bind(
-        chunks,
-        lambda parts: F.flatten(
-            F.zip_with(parts, sums(F.transform(parts, total), F.lit(0)), lambda x, end: sums(x, end - total(x)))
-        ),
-    )
-
-
 def matches(text: Column, pattern: str) -> Column:
     """Array of (start, stop, value) of all matches of the pattern."""
 
@@ -68,7 +41,7 @@ def matches(text: Column, pattern: str) -> Column:
             steps,
             lambda lengths: F.zip_with(
                 found,
-                running_sums(lengths),
+                running(lengths, "int", lambda a, b: a + b),
                 lambda m, stop: F.struct((stop - F.length(m)).alias("start"), stop.alias("stop"), m.alias("value")),
             ),
         )
