@@ -13,12 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, text_or_empty, unique_name, written
-
-# The filter of chained hashes is a bitmap of 2^25 bits: 4 MB to broadcast, whatever the
-# corpus. A set bit that no chained hash owns only lets a text through in vain.
-FILTER_BITS = 25
-
+from tidemark.llm.common import SPACE, maybe_among, text_or_empty, unique_name, written
 
 def normalised(column: str = "text"):
     return F.regexp_replace(text_or_empty(column), SPACE, " ")
@@ -61,31 +56,6 @@ def hash_index(entries: DataFrame, bucket_entries: int, max_depth: int) -> DataF
     return written(placed.repartition("bucket"), "dedup-index", "bucket")
 
 
-def _set_bits(keys: DataFrame) -> DataFrame:
-    slot = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS))
-    return (
-        keys.select(slot.alias("slot"))
-        .groupBy(F.expr("bitmap_bucket_number(slot)").alias("page"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
-    )
-
-
-def _chained_texts(texts: DataFrame, chained: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose hash may be chained."""
-    slot = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS))
-    at = F.expr("bitmap_bit_position(slot)")
-    byte = F.conv(F.hex(F.expr("substring(bits, CAST(at DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    bit = byte.bitwiseAND(F.expr("shiftleft(1, CAST(at % 8 AS INT))"))
-    return (
-        texts.withColumn("slot", slot)
-        .withColumn("page", F.expr("bitmap_bucket_number(slot)"))
-        .withColumn("at", at)
-        .join(F.broadcast(_set_bits(chained)), "page")
-        .where(bit != 0)
-        .select("id", "text", "key")
-    )
-
-
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -109,7 +79,7 @@ def exact_dedup(
     chained = hash_index(entries, bucket_entries, max_depth).where("n > 1").select("key")
     # The text itself is the grouping key: bytes are compared, not hashes.
     classes = (
-        _chained_texts(texts, chained)
+        maybe_among(texts, chained)
         .groupBy("key", "text")
         .agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
         .where("group_size > 1")

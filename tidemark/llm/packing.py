@@ -111,48 +111,66 @@ def _better_exchange(own: list[int], other: list[int], free: int, sizes: list[in
     return best
 
 
+def _fuller(victim: int, bins: list[list[int]], fills: list[int], capacity: int) -> list[int]:
+    """Bins with room that are at least as full as the victim, emptier first."""
+    found = [t for t in range(len(bins)) if t != victim and bins[t] and fills[victim] <= fills[t] < capacity]
+    return sorted(found, key=fills.__getitem__)
+
+
+def _move_out(victim: int, bins: list[list[int]], fills: list[int], sizes: list[int], capacity: int) -> bool:
+    """Move what fits elsewhere, larger items first, each to the fullest bin that takes it."""
+    others = _fuller(victim, bins, fills, capacity)
+    fullness, moved = [fills[t] for t in others], False
+    for a in sorted(bins[victim], key=lambda i: -sizes[i]):
+        k = bisect_right(fullness, capacity - sizes[a]) - 1
+        if k >= 0:
+            t = others.pop(k)
+            fullness.pop(k)
+            bins[victim].remove(a)
+            bins[t].append(a)
+            fills[t] += sizes[a]
+            fills[victim] -= sizes[a]
+            moved = True
+    return moved
+
+
+def _exchange(victim: int, bins: list[list[int]], fills: list[int], sizes: list[int], capacity: int) -> bool:
+    """Make the one exchange that fills another bin most."""
+    best = (0, (), (), -1)
+    for t in _fuller(victim, bins, fills, capacity):
+        if capacity - fills[t] <= best[0]:
+            break
+        found = _better_exchange(bins[victim], bins[t], capacity - fills[t], sizes)
+        if found[0] > best[0]:
+            best = (*found, t)
+    gain, back, out, t = best
+    if gain:
+        bins[victim] = [i for i in bins[victim] if i not in back] + list(out)
+        bins[t] = [i for i in bins[t] if i not in out] + list(back)
+        fills[victim] -= gain
+        fills[t] += gain
+    return gain > 0
+
+
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int, patience: int = 64) -> list[list[int]]:
     """Empty the emptiest bins by moves and exchanges, each of which raises the sum of squared fills."""
     # Items over half a bin never share one.
     least = max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
     fills = [sum(sizes[i] for i in b) for b in bins]
-    left = len(bins)
-    victims = sorted(range(len(bins)), key=fills.__getitem__)
-    for victim in victims[: 2 * (left - least) + 8]:
-        if left <= least:
-            break
-        for _ in range(patience):
-            others = [t for t in range(len(bins)) if t != victim and fills[victim] <= fills[t] < capacity]
-            others.sort(key=fills.__getitem__)
-            fullness = [fills[t] for t in others]
-            moved = False
-            for a in sorted(bins[victim], key=lambda i: -sizes[i]):
-                k = bisect_right(fullness, capacity - sizes[a]) - 1
-                if k >= 0:
-                    t = others.pop(k)
-                    fullness.pop(k)
-                    bins[victim].remove(a)
-                    bins[t].append(a)
-                    fills[t] += sizes[a]
-                    fills[victim] -= sizes[a]
-                    moved = True
-            if not bins[victim]:
-                left -= 1
-                break
-            best = (0, (), (), -1)
-            for t in others:
-                if capacity - fills[t] <= best[0]:
+    left, better = len(bins), True
+    while better and left > least:
+        better = False
+        victims = sorted((t for t in range(len(bins)) if bins[t]), key=fills.__getitem__)
+        for victim in victims[: 2 * (left - least) + 8]:
+            for _ in range(patience):
+                moved = _move_out(victim, bins, fills, sizes, capacity)
+                if not bins[victim]:
+                    left -= 1
+                gained = bool(bins[victim]) and _exchange(victim, bins, fills, sizes, capacity)
+                better |= moved or gained
+                if not gained:
                     break
-                found = _better_exchange(bins[victim], bins[t], capacity - fills[t], sizes)
-                if found[0] > best[0]:
-                    best = (*found, t)
-            gain, back, out, t = best
-            if gain:
-                bins[victim] = [i for i in bins[victim] if i not in back] + list(out)
-                bins[t] = [i for i in bins[t] if i not in out] + list(back)
-                fills[victim] -= gain
-                fills[t] += gain
-            elif not moved:
+            if left <= least:
                 break
     return [b for b in bins if b]
 

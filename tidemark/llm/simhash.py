@@ -49,15 +49,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id`` and ``fp`` (a signed long) of each row; only one batch is in memory."""
+    """``id``, a hash of the text and ``fp`` (a signed long) of each row; only one batch is in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column("text")), "<u8", len(batch))
-            yield pa.record_batch([batch.column("id"), pa.array(fp.view("<i8"))], names=["id", "fp"])
+            columns = [batch.column("id"), batch.column("text_key"), pa.array(fp.view("<i8"))]
+            yield pa.record_batch(columns, names=["id", "text_key", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text_key long, fp long")
 
 
 def _block_masks(blocks: int, distance: int) -> list[int]:
@@ -138,7 +139,7 @@ def near_duplicates(
     distance: int = 2,
     bucket_pairs: int = 128,
 ) -> DataFrame:
-    """``id``, ``fp`` (signed long) and ``component_id`` of each row.
+    """``id``, ``text_key`` (a hash), ``fp`` (signed long) and ``component_id`` of each row.
 
     ``component_id`` is the least id among the documents reachable over fingerprints that differ
     in at most ``distance`` bits. Texts without words (null, empty, blank) have fingerprint zero
@@ -156,19 +157,22 @@ def near_duplicates(
     )
     # Written, so that the last join has an exchange on either side and a hot fingerprint can be split.
     labels = written(labels, "simhash-labels")
-    return rows.join(labels, "fp").select("id", "fp", "component_id")
+    return rows.join(labels, "fp").select("id", "text_key", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, the one with the least id, with all its columns.
 
-    An id identifies a document: rows that repeat id and text stay once, and rows without an id
-    stay only where a whole component has none.
+    Rows that repeat id and text stay once; rows without an id stay only where a whole component
+    has none.
     """
-    stay_id = unique_name(docs, "_stay_id")
+    row = unique_name(docs, "_row")
     found = near_duplicates(docs, id_col, text_col, **options)
-    stay = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(stay_id))
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col(stay_id)), "left_semi").dropDuplicates([id_col, text_col])
+    stay = found.where(F.col("id").eqNullSafe(F.col("component_id")))
+    # Nulls inside a struct compare as equal.
+    stay = stay.select(F.struct("id", "text_key").alias(row))
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key")))
+    return keyed.join(stay, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
 
 
 def hex_fingerprint(fp: str = "fp"):
