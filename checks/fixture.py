@@ -214,21 +214,28 @@ def legacy_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def device_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The device rename table; every third device is not in use."""
+    """The device rename table; every third device is not in use.
+
+    The devices at the front share their old name with a later row, which sorts first by name.
+    """
     number = F.floor(F.col("user_id") / 30)
     device = F.concat(F.lit("dev"), F.col("n"))
-    return (
-        events(spark, sf_dir)
-        .select(number.alias("n"))
-        .distinct()
-        .select(
-            device.alias("<new-mqtt-device-name>"),
-            F.concat(F.lit("/old-"), device, F.lit("/")).alias("<old-mqtt-device-name>"),
-            F.concat(F.lit("shellies/vold-"), device).alias("<very-old-mqtt-device-name>"),
-            F.when(F.col("n") % 3 == 2, F.lit("x")).alias("<not-in-use>"),
-            (F.col("n") + 2).alias("row_number"),
-        )
+    numbers = events(spark, sf_dir).select(number.alias("n")).distinct()
+    rows = numbers.select(
+        device.alias("<new-mqtt-device-name>"),
+        F.concat(F.lit("/old-"), device, F.lit("/")).alias("<old-mqtt-device-name>"),
+        F.concat(F.lit("shellies/vold-"), device).alias("<very-old-mqtt-device-name>"),
+        F.when(F.col("n") % 3 == 2, F.lit("x")).alias("<not-in-use>"),
+        (F.col("n") + 2).alias("row_number"),
+    )
+    later = numbers.where("n % 3 = 0").select(
+        F.concat(F.lit("a-"), device).alias("<new-mqtt-device-name>"),
+        F.concat(F.lit("old-"), device).alias("<old-mqtt-device-name>"),
+        F.lit("").alias("<very-old-mqtt-device-name>"),
+        F.lit(None).cast("string").alias("<not-in-use>"),
+        (F.col("n") + 1_000_000).alias("row_number"),
     )
+    return rows.unionByName(later)
 
 
 def rounding(column: str) -> tuple[int, str]:

@@ -375,22 +375,28 @@ _TYPED = """SELECT received_at, topic, device_id, metric_name, payload, numeric_
 # Rules from the device table, and the first match per topic.
 _RULES = """
 devices AS (SELECT DISTINCT user_id // 30 AS n FROM events),
-kinds(source_table, target_kind) AS (VALUES
-  ('public.mqtt_power', 'measurement'), ('public.mqtt_energy', 'measurement'), ('public.mqtt_status', 'status'),
-  ('public.mqtt_switch', 'measurement'), ('public.mqtt_online', 'status'), ('public.mqtt_infos', 'status'),
-  ('public.mqtt_announcements', 'status'), ('public.mqtt_dump', 'status'), ('public.mqtt_topics', 'topic_inventory')),
+kinds(source_table, target_kind, place) AS (VALUES
+  ('public.mqtt_power', 'measurement', 0), ('public.mqtt_energy', 'measurement', 1), ('public.mqtt_status', 'status', 2),
+  ('public.mqtt_switch', 'measurement', 3), ('public.mqtt_online', 'status', 4), ('public.mqtt_infos', 'status', 5),
+  ('public.mqtt_announcements', 'status', 6), ('public.mqtt_dump', 'status', 7), ('public.mqtt_topics', 'topic_inventory', 8)),
 renames AS (
-  SELECT 100 AS priority, 'dev' || n AS new, 'old\\-dev' || n AS old, 'Imported from devices row ' || (n + 2) AS notes FROM devices WHERE n % 3 <> 2
-  UNION ALL SELECT 100, 'dev' || n, 'shellies/vold\\-dev' || n, 'Imported from devices row ' || (n + 2) FROM devices WHERE n % 3 <> 2
-  UNION ALL SELECT 90, 'dev' || n, 'alias\\-dev' || n, 'Explicit historical alias' FROM devices),
-rules AS (
+  SELECT 100 AS priority, 'dev' || n AS new, 'old\\-dev' || n AS old, 'Imported from devices row ' || (n + 2) AS notes,
+    1 AS part, n + 2 AS line, 0 AS turn FROM devices WHERE n % 3 <> 2
+  UNION ALL SELECT 100, 'dev' || n, 'shellies/vold\\-dev' || n, 'Imported from devices row ' || (n + 2), 1, n + 2, 1
+    FROM devices WHERE n % 3 <> 2
+  UNION ALL SELECT 100, 'a-dev' || n, 'old\\-dev' || n, 'Imported from devices row ' || (n + 1000000), 1, n + 1000000, 0
+    FROM devices WHERE n % 3 = 0
+  UNION ALL SELECT 90, 'dev' || n, 'alias\\-dev' || n, 'Explicit historical alias', 2, n + 2, 0 FROM devices),
+filed AS (
   SELECT priority, source_table, 'regex' AS rule_type, '^shellies/' || old || '/(.*)$' AS source_pattern,
-    'shellies/' || new || '/\\1' AS target_topic, target_kind, notes FROM renames CROSS JOIN kinds
-  UNION ALL SELECT 20, 'public.mqtt_topics', 'prefix', '$SYS/', '$SYS/', 'topic_inventory', 'Default broker topic inventory mapping'
-  UNION ALL SELECT 10, t, 'exact', p, NULL, 'skip', w || ' ' || q FROM
-    (VALUES ('public.mqtt_online', 'Ignored'), ('public.mqtt_topics', 'Ignored retained')) a(t, w)
-    CROSS JOIN (VALUES ('shellies/BV.LR.SY/ProjectorScreen/online', 'legacy ProjectorScreen online topic'),
-      ('shellies/living_room/shelly/switch/lw/online', 'legacy living room switch online topic')) b(p, q))"""
+    'shellies/' || new || '/\\1' AS target_topic, target_kind, notes, part, line, turn, place FROM renames CROSS JOIN kinds
+  UNION ALL SELECT 20, 'public.mqtt_topics', 'prefix', '$SYS/', '$SYS/', 'topic_inventory',
+    'Default broker topic inventory mapping', 0, 0, 0, 0
+  UNION ALL SELECT 10, t, 'exact', p, NULL, 'skip', w || ' ' || q, 3, i * 2 + j, 0, 0 FROM
+    (VALUES ('public.mqtt_online', 'Ignored', 0), ('public.mqtt_topics', 'Ignored retained', 1)) a(t, w, i)
+    CROSS JOIN (VALUES ('shellies/BV.LR.SY/ProjectorScreen/online', 'legacy ProjectorScreen online topic', 0),
+      ('shellies/living_room/shelly/switch/lw/online', 'legacy living room switch online topic', 1)) b(p, q, j)),
+rules AS (SELECT * EXCLUDE (part, line, turn, place) FROM filed)"""
 
 _LEGACY = """
 le AS (SELECT *, 'dev' || (user_id // 30)::VARCHAR AS dev FROM events),
@@ -415,8 +421,8 @@ snapshot AS (
 wanted AS (SELECT DISTINCT source_table, source_topic FROM legacy UNION SELECT 'public.mqtt_topics', source_topic FROM snapshot),
 hits AS (
   SELECT w.*, r.rule_type, r.target_kind, r.source_pattern, r.target_topic,
-    row_number() OVER (PARTITION BY w.source_table, w.source_topic ORDER BY r.priority, r.source_pattern) AS pick
-  FROM wanted w JOIN rules r ON r.source_table = w.source_table AND (
+    row_number() OVER (PARTITION BY w.source_table, w.source_topic ORDER BY r.priority, r.part, r.line, r.turn, r.place) AS pick
+  FROM wanted w JOIN filed r ON r.source_table = w.source_table AND (
     (r.rule_type = 'exact' AND w.source_topic = r.source_pattern)
     OR (r.rule_type = 'prefix' AND starts_with(w.source_topic, r.source_pattern))
     OR (r.rule_type = 'regex' AND regexp_matches(w.source_topic, r.source_pattern)))),
@@ -456,6 +462,11 @@ ORACLE: dict[str, str] = {
     "quarantined_messages": _sql(
         _RAW,
         """SELECT topic, payload, received_at, metadata, 'malformed metadata sequence' AS reject_reason
+FROM typed WHERE malformed""",
+    ),
+    "quarantined_topics": _sql(
+        _RAW,
+        """SELECT topic, payload, received_at, metadata, 'malformed metadata sequence' AS reject_reason
 FROM typed WHERE malformed""",
     ),
     "relay_events": _sql(
@@ -542,7 +553,14 @@ FROM msgs WHERE device_id IS NOT NULL AND event_type <> 'view'"""
         ),
     ),
     "rules_from_devices": _sql(_RULES, "SELECT * FROM rules"),
-    "imported_rules": _sql(_RULES, "SELECT *, true AS enabled FROM rules UNION ALL SELECT *, true FROM rules WHERE target_topic IS NULL"),
+    "imported_rules": _sql(
+        f"""{_RULES},
+numbered AS (
+  SELECT * EXCLUDE (part, line, turn, place), row_number() OVER (ORDER BY part, line, turn, place) AS mapping_id FROM filed)""",
+        """SELECT *, true AS enabled FROM numbered
+UNION ALL SELECT * REPLACE ((SELECT count(*) FROM numbered) + row_number() OVER (ORDER BY mapping_id) AS mapping_id), true
+FROM numbered WHERE target_topic IS NULL""",
+    ),
     "stage_range": _sql(
         _MIGRATION,
         f"""SELECT 7::BIGINT AS batch_id, source_table, count(*) AS row_count, min(created_at) AS first_at, max(created_at) AS last_at

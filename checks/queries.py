@@ -62,6 +62,10 @@ def quarantined_messages(spark, sf_dir):
     return fx.for_compare(normalize.quarantined_messages(fx.raw_messages(spark, sf_dir)))
 
 
+def quarantined_topics(spark, sf_dir):
+    return fx.for_compare(normalize.quarantined_topics(fx.raw_messages(spark, sf_dir)))
+
+
 def relay_events(spark, sf_dir):
     typed = normalize.normalize_messages(fx.raw_messages(spark, sf_dir), ("value_text",))
     return fx.for_compare(normalize.relay_events(typed))
@@ -167,7 +171,8 @@ def _rule_rows(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("alias-"), F.col("`<new-mqtt-device-name>`")).alias("old"),
         F.col("`<new-mqtt-device-name>`").alias("new"),
         F.lit("Explicit historical alias").alias("notes"),
-    )
+        "row_number",
+    ).where("row_number < 1000000")
     return rules.alias_rules(generated, aliases).unionByName(rules.skip_rules(spark))
 
 
@@ -193,13 +198,13 @@ def _mapped(spark, sf_dir):
 
 
 def rules_from_devices(spark, sf_dir):
-    return _rule_rows(spark, sf_dir)
+    return _rule_rows(spark, sf_dir).drop("position")
 
 
 def imported_rules(spark, sf_dir):
     """Importing the same rules twice adds only those without a target again."""
     once = _rules(spark, sf_dir)
-    return rules.import_rules(once, _rule_rows(spark, sf_dir)).drop("mapping_id")
+    return rules.import_rules(once, _rule_rows(spark, sf_dir))
 
 
 def stage_range(spark, sf_dir):
@@ -372,6 +377,7 @@ def touched_buckets(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "quarantined_messages": quarantined_messages,
+    "quarantined_topics": quarantined_topics,
     "relay_events": relay_events,
     "topic_inventory": topic_inventory,
     "topic_inventory_merge": topic_inventory_merge,

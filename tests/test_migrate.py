@@ -70,3 +70,83 @@ def test_run_load_and_reset(spark, sf, tmp_path):
     for name in ("import_batches", "staged_messages", "staged_topics", "rejected_messages"):
         assert store.read(name).count() == 0
     assert store.topic_overview().count() == 0
+
+
+def _rule(spark, target=r"sensors/\1"):
+    columns = "priority int, source_table string, rule_type string, source_pattern string, target_topic string, target_kind string, notes string"
+    kinds = [("public.mqtt_power", "measurement"), ("public.mqtt_status", "status")]
+    return spark.createDataFrame([(1, t, "regex", "^old/(.*)$", target, k, None) for t, k in kinds], columns)
+
+
+def _power(spark, days):
+    rows = [(f"2024-01-{d:02d} 10:00:0{i}", "old/dev/power", "W", str(i)) for d in days for i in range(4)]
+    rows = spark.createDataFrame(rows, "created_at string, topic string, unit string, payload string")
+    return rows.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def _load(runner, batch):
+    """Load and refresh; what the tables then hold."""
+    assert runner.load_messages(batch, NOW)[0] == 4
+    runner.refresh(batch, NOW)
+    summary = runner.summary(batch).first()
+    assert (summary.status, summary.inserted_row_count) == ("refreshed", 4)
+    assert "open_load" not in runner._notes(batch)
+    tables = ("messages", "sample_edges", "message_aggregates", "staged_messages")
+    return [contents(runner.store.read(t).drop("updated_at")) for t in tables]
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark, tmp_path_factory):
+    runner = Migration(Store(spark, str(tmp_path_factory.mktemp("whole"))), {"public.mqtt_power": _power(spark, (3,))}.get)
+    runner.import_rules(_rule(spark))
+    return _load(runner, runner.dry_run("x", NOW))
+
+
+@pytest.mark.parametrize("crash", ["update_edges", "_recount"])
+def test_interrupted_load_is_taken_up_again(spark, tmp_path, monkeypatch, undisturbed, crash):
+    from tidemark.plans import migrate
+
+    runner = Migration(Store(spark, str(tmp_path)), {"public.mqtt_power": _power(spark, (3,))}.get)
+    runner.import_rules(_rule(spark))
+    batch = runner.dry_run("x", NOW)
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(migrate if crash == "update_edges" else runner, crash, stop)
+        runner.load_messages(batch, NOW)
+    assert runner.store.read("messages").count() == 4
+    assert _load(runner, batch) == undisturbed
+    assert runner.load_messages(batch, NOW) == (0, 0)
+
+
+def test_staging_an_empty_slice_replaces_the_old_one(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    runner = Migration(store, {"public.mqtt_power": _power(spark, (3, 4))}.get)
+    batch = runner.dry_run("x", NOW)
+    assert store.read("staged_messages").count() == 8
+    runner.stage(batch, NOW, "2023-01-01", "2023-01-02")
+    assert store.read("staged_messages").count() == 0
+    row = store.read("import_batches").first()
+    assert (row.staged_row_count, row.source_min_at, row.source_max_at) == (0, None, None)
+
+
+def test_range_runs_to_its_end_or_tells_where_it_stopped(spark, tmp_path):
+    runner = Migration(Store(spark, str(tmp_path)), lambda name: None)
+    seen = []
+    runner.dry_run = lambda name, now, zone, lo, hi, topics, notes: seen.append((lo, topics)) or len(seen)
+    done = runner.run_range("x", "2024-01-01", "2024-05-30", NOW)
+    assert (len(done), done.stopped_at) == (150, None)
+    assert [t for _, t in seen].count(True) == 1
+    short = runner.run_range("x", "2024-01-01", "2024-05-30", NOW, max_batches=7)
+    assert (len(short), short.stopped_at) == (7, "2024-01-08 00:00:00")
+
+
+def test_remap_reports(spark, tmp_path):
+    runner = Migration(Store(spark, str(tmp_path)), {"public.mqtt_power": _power(spark, (3,))}.get)
+    batch = runner.dry_run("x", NOW)
+    assert runner.top_unmapped(batch).count() == 1
+    report = runner.remap(batch, NOW, _rule(spark))
+    assert [(r.status, r.row_count) for r in report["status"].collect()] == [("mapped", 4)]
+    assert report["unmapped"].count() == 0 and report["summary"].first().mapped_row_count == 4

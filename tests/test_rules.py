@@ -25,7 +25,7 @@ def test_device_rules(devices):
 
 
 def test_missing_column(devices):
-    with pytest.raises(ValueError, match="missing required"):
+    with pytest.raises(ValueError, match="has no"):
         rules.device_rules(devices.drop(rules.OLD_NAME))
 
 
@@ -42,7 +42,8 @@ def test_aliases_are_not_repeated(spark, devices):
 def test_csv_round_trip(spark, devices, tmp_path):
     generated = rules.device_rules(devices).unionByName(rules.skip_rules(spark))
     rules.write_rules_csv(generated, str(tmp_path / "rules"))
-    back = rules.read_rules_csv(spark, str(tmp_path / "rules"))
+    back = rules.read_rules_csv(spark, str(tmp_path / "rules")).drop("position")
+    generated = generated.drop("position")
     assert back.exceptAll(generated).count() == 0 and generated.exceptAll(back).count() == 0
 
 
@@ -109,3 +110,38 @@ def test_device_table_from_csv(spark, tmp_path):
     out = rules.device_rules(rules.read_device_table(spark, str(path)))
     assert out.count() == 1 + 9 + 18
     assert out.where(r"source_pattern = '^shellies/shellies/older\\-2/(.*)$'").count() == 9
+
+
+def test_rows_of_a_device_table_keep_their_file_order(spark, tmp_path):
+    path = tmp_path / "devices.csv"
+    names = ["zeta", "alpha", "mid"]
+    path.write_text("<new-mqtt-device-name>,<old-mqtt-device-name>\n" + "".join(f"{n},old\n" for n in names))
+    generated = rules.device_rules(rules.read_device_table(spark, str(path)))
+    none = spark.createDataFrame([], schemas.TOPIC_RULE)
+    imported = rules.import_rules(none, generated)
+    topics = spark.createDataFrame([("public.mqtt_power", "shellies/old/relay/0/power")], "source_table string, source_topic string")
+    found = rules.first_matching_rules(topics, imported).first()
+    assert found.mapped_topic == "shellies/zeta/relay/0/power"
+    ids = sorted((r.mapping_id, r.notes) for r in imported.collect())
+    assert [i for i, _ in ids] == list(range(1, 29))
+    assert ids[1][1] == "Imported from devices row 2" and ids[-1][1] == "Imported from devices row 4"
+    # The order survives a CSV file.
+    rules.write_rules_csv(generated, str(tmp_path / "rules"))
+    again = rules.import_rules(none, rules.read_rules_csv(spark, str(tmp_path / "rules")))
+    assert sorted((r.mapping_id, r.notes) for r in again.collect()) == ids
+
+
+@pytest.mark.parametrize(
+    ("pattern", "target", "topic", "mapped"),
+    [
+        ("^a(.*)$", r"x\&y", "ab", "xaby"),
+        ("a(.)", r"<\&|\1>", "-ab-ab", "-<ab|b>-ab"),
+        ("^(a.)(c)$", r"$\2\1\&", "a$c", "$ca$a$c"),
+        (r"^a\\\\$", "end", "a\\\\", "end"),
+    ],
+)
+def test_references_in_targets(spark, pattern, target, topic, mapped):
+    rule = [(1, True, 1, None, "regex", pattern, target, "status", None)]
+    columns = "mapping_id long, enabled boolean, priority int, source_table string, rule_type string, source_pattern string, target_topic string, target_kind string, notes string"
+    topics = spark.createDataFrame([("t", topic)], "source_table string, source_topic string")
+    assert rules.first_matching_rules(topics, spark.createDataFrame(rule, columns)).first().mapped_topic == mapped

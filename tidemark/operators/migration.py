@@ -16,6 +16,7 @@ from tidemark import schemas
 from tidemark.functions import clock, parse, topics
 from tidemark.operators.rules import first_matching_rules
 
+# Why a staged row is turned down.
 UNMATCHED = "no topic mapping matched"
 SKIPPED = "topic mapping target kind is skip"
 
@@ -204,7 +205,7 @@ def _already_loaded(candidates: DataFrame, existing: DataFrame, time_column: str
             F.expr("try_variant_get(_meta, '$[0].source_created_at', 'variant') IS NOT NULL"), F.lit(False)
         ).alias("_has_wall"),
     )
-    c, e = keyed.alias("c"), loaded.distinct().alias("e")
+    c, e = keyed.alias("c"), loaded.alias("e")
     twin = reduce(lambda x, y: x & y, [F.col(f"c.{k}") == F.col(f"e.{k}") for k in _SAME_ROW])
     agrees = (F.col("c._wall") == F.col("e._wall")) | ~F.col("e._has_wall")
     return c.join(e, twin & agrees, "left_anti").drop(*_SAME_ROW, "_wall")
@@ -452,6 +453,18 @@ def reset_staged(staged: DataFrame) -> DataFrame:
     return staged.withColumns(columns)
 
 
+def reopened(staged: DataFrame) -> DataFrame:
+    """All rows as they were before any load: what is loaded is then told by the raw tables alone."""
+    columns = {
+        "inserted": F.lit(False),
+        "relay_inserted": F.lit(False),
+        "validation_status": F.when(F.col("validation_status") == "inserted", "mapped").otherwise(
+            F.col("validation_status")
+        ),
+    }
+    return staged.withColumns(columns)
+
+
 def mark_inserted(
     staged: DataFrame, ids: DataFrame, id_column: str, now: datetime | str | None = None
 ) -> DataFrame:

@@ -136,24 +136,7 @@ def topic_inventory(
     First and last follow arrival order, so ``last_seen_at`` can move backwards
     when a message arrives late. Trace fields come from metadata only.
     """
-    prepare(raw.sparkSession)
-    parsed = raw.withColumn("metadata", F.coalesce(F.col("metadata"), F.lit("{}"))).withColumn(
-        "_meta", parse.json_object(F.col("metadata"))
-    )
-
-    def field(name: str) -> Column:
-        return parse.object_field(F.col("_meta"), name)
-
-    sequence_text = F.nullif(field("sequence"), F.lit(""))
-    typed = parsed.withColumns(
-        {
-            "_event_id": field("event_id"),
-            "_trace_id": field("trace_id"),
-            "_publisher_id": field("publisher_id"),
-            "_sequence": parse.whole_number(sequence_text),
-            "_malformed": sequence_text.isNotNull() & parse.whole_number(sequence_text).isNull(),
-        }
-    ).where(~F.col("_malformed"))
+    typed = _inventory_fields(raw).where(~F.col("_malformed"))
     order = F.struct(*[F.col(c) for c in arrival], F.col("received_at"), F.col("payload"))
     last = F.max(
         F.struct(
@@ -186,6 +169,37 @@ def topic_inventory(
     )
 
 
+def quarantined_topics(raw: DataFrame) -> DataFrame:
+    """Messages the inventory cannot count because of their metadata, with the reason."""
+    return (
+        _inventory_fields(raw)
+        .where(F.col("_malformed"))
+        .withColumn("reject_reason", F.lit("malformed metadata sequence"))
+        .select("topic", "payload", "received_at", "metadata", "reject_reason")
+    )
+
+
+def _inventory_fields(raw: DataFrame) -> DataFrame:
+    prepare(raw.sparkSession)
+    parsed = raw.withColumn("metadata", F.coalesce(F.col("metadata"), F.lit("{}"))).withColumn(
+        "_meta", parse.json_object(F.col("metadata"))
+    )
+
+    def field(name: str) -> Column:
+        return parse.object_field(F.col("_meta"), name)
+
+    sequence_text = F.nullif(field("sequence"), F.lit(""))
+    return parsed.withColumns(
+        {
+            "_event_id": field("event_id"),
+            "_trace_id": field("trace_id"),
+            "_publisher_id": field("publisher_id"),
+            "_sequence": parse.whole_number(sequence_text),
+            "_malformed": sequence_text.isNotNull() & parse.whole_number(sequence_text).isNull(),
+        }
+    )
+
+
 def merge_topic_inventory(existing: DataFrame, arrived: DataFrame) -> DataFrame:
     """Upsert: arrived rows replace the last_* fields and add to the count."""
     e, a = existing.alias("e"), arrived.alias("a")

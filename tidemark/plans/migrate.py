@@ -1,7 +1,8 @@
 """Running a historical migration against a store.
 
 Each step writes its result, so a failed run restarts at the last completed
-status of its batch.
+status of its batch. A load notes the tag of its raw rows in the batch before it
+writes any; if it is interrupted, the next load of the batch takes up that tag.
 """
 
 from __future__ import annotations
@@ -16,17 +17,28 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import clock
-from tidemark.operators import migration, reports
+from tidemark.operators import migration, reports, rules
 from tidemark.plans.refresh import edge_cells, rebuild_edges, refresh_range, update_edges
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.store import Store
 
+# Fixed value: what a full reset must be confirmed with.
 RESET_TOKEN = "RESET_LOCAL_MIGRATION"
 
+# Where a batch's metadata names the tag of a load that has begun but not ended.
+_OPEN_LOAD = "open_load"
+
 # Name of a legacy table -> the table, or None where it does not exist.
 Legacy = Callable[[str], "DataFrame | None"]
 
 
+class RangeRun(list):
+    """The batch ids of a range run. ``stopped_at`` is the wall-clock time reached if a limit
+    ended it early, else None."""
+
+    stopped_at: str | None = None
+
+
 class Migration:
     def __init__(self, store: Store, legacy: Legacy | None = None):
         self.store = store
@@ -83,7 +95,9 @@ class Migration:
 
     def _recount(self, batch_id: int, status: str, now: datetime | str, *names: str) -> None:
         counted = migration.batch_counters(*self._staged(batch_id), self._zone(batch_id)).first()
-        known = counted.asDict() if counted else dict.fromkeys(names, 0)
+        # Without rows counters are zero and bounds unknown.
+        empty = {n: None if n.endswith("_at") else 0 for n in names}
+        known = counted.asDict() if counted else empty
         types = {f.name: f.dataType for f in schemas.IMPORT_BATCH.fields}
         self._advance(
             batch_id, status, now, **{n: F.lit(known[n]).cast(types[n]) for n in names}
@@ -99,15 +113,19 @@ class Migration:
         to_time: str | None = None,
         include_topics: bool = True,
     ) -> DataFrame:
-        """Stage the legacy tables that exist; rows per source table."""
+        """Stage the legacy tables that exist, in place of what the batch had staged of them;
+        rows per source table."""
         parts = []
         for name in schemas.LEGACY_TABLES:
             source = self.legacy(name)
             if source is not None:
                 parts.append(migration.stage_table(source, batch_id, name, from_time, to_time))
+        self.store.drop_partitions("staged_messages", "batch_id", lambda b: b != str(batch_id))
         if parts:
             self.store.replace_partitions(reduce(DataFrame.unionByName, parts), "staged_messages")
         snapshot = self.legacy(schemas.LEGACY_TOPICS) if include_topics else None
+        if include_topics:
+            self.store.drop_partitions("staged_topics", "batch_id", lambda b: b != str(batch_id))
         if snapshot is not None:
             position = "position" if "position" in snapshot.columns else None
             self.store.replace_partitions(
@@ -125,12 +143,12 @@ class Migration:
     def apply(self, batch_id: int, now: datetime | str) -> DataFrame:
         """Map the batch by the stored rules, replacing its rejects; row counts
         per status. Can be repeated after the rules changed."""
-        rules = self.store.read("topic_mapping")
+        known = self.store.read("topic_mapping")
         messages, topics = self._staged(batch_id)
         self.store.replace_partitions(
-            migration.apply_rules(messages, rules, self._zone(batch_id)), "staged_messages"
+            migration.apply_rules(messages, known, self._zone(batch_id)), "staged_messages"
         )
-        self.store.replace_partitions(migration.apply_rules(topics, rules), "staged_topics")
+        self.store.replace_partitions(migration.apply_rules(topics, known), "staged_topics")
         messages, topics = self._staged(batch_id)
         self.store.drop_partitions("rejected_messages", "batch_id", lambda b: b != str(batch_id))
         self.store.replace_partitions(migration.rejects(messages, topics), "rejected_messages")
@@ -141,25 +159,61 @@ class Migration:
         """Raw rows of one load; loading again later adds a tag of its own."""
         return f"migration-{batch_id}-{clock.to_us(now)}"
 
+    def _notes(self, batch_id: int) -> dict:
+        row = self._batch(batch_id).select("metadata").first()
+        return json.loads(row.metadata or "{}")
+
+    def _note(self, batch_id: int, notes: dict, now: datetime | str) -> None:
+        status = self._batch(batch_id).select("status").first().status
+        self._advance(batch_id, status, now, metadata=F.lit(json.dumps(notes)))
+
+    def _loaded_near(self, name: str, time: str, staged: DataFrame, tag: str) -> DataFrame:
+        """Stored raw rows of other loads on the days of the staged rows."""
+        at = F.to_date("production_received_at")
+        span = staged.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+        rows = self.store.read(name).where(F.col("ingest_batch") != tag)
+        if span.lo is None:
+            return rows.where(F.lit(False))
+        return rows.where(F.col(time).between(F.lit(span.lo), F.lit(span.hi)))
+
     def load_messages(self, batch_id: int, now: datetime | str) -> tuple[int, int]:
         """Append mapped messages and relay events that are not loaded yet;
-        returns how many of each."""
+        returns how many of each.
+
+        A load that was interrupted is done again under its own tag and time: its raw rows
+        are replaced, and edges, marks and counters made anew from them.
+        """
+        notes = self._notes(batch_id)
+        again = notes.get(_OPEN_LOAD)
+        if again:
+            tag, at = again["tag"], again["at"]
+        else:
+            tag, at = self._tag(batch_id, now), str(clock.from_us(clock.to_us(now)))
+            self._note(batch_id, {**notes, _OPEN_LOAD: {"tag": tag, "at": at}}, now)
         staged, _ = self._staged(batch_id)
-        tag, existing = self._tag(batch_id, now), self.store.read("messages")
-        new = cut_lineage(migration.message_candidates(staged, existing))
-        events = cut_lineage(
-            migration.relay_candidates(staged, self.store.read("relay_state_events"))
-        )
-        messages = migration.to_messages(new, now)
-        relay = migration.to_relay_events(events, now)
+        # Marks of the interrupted load may be there already; what other loads hold does not count.
+        ready = migration.reopened(staged) if again else staged
+        if again:
+            for name in ("messages", "relay_state_events"):
+                self.store.drop_partitions(name, "ingest_batch", lambda t: t != tag)
+        existing = self._loaded_near("messages", "received_date", ready, tag)
+        known = self._loaded_near("relay_state_events", "event_date", ready, tag)
+        new = cut_lineage(migration.message_candidates(ready, existing))
+        events = cut_lineage(migration.relay_candidates(ready, known))
+        messages = migration.to_messages(new, at)
+        relay = migration.to_relay_events(events, at)
         self.store.append(messages, "messages", tag)
         self.store.append(relay, "relay_state_events", tag)
-        update_edges(self.store, messages, relay)
-        done = migration.mark_inserted(staged, new, "staged_message_id", now)
+        if again:
+            rebuild_edges(self.store, *edge_cells(messages, relay))
+        else:
+            update_edges(self.store, messages, relay)
+        done = migration.mark_inserted(staged, new, "staged_message_id", at)
         self.store.replace_partitions(
             migration.mark_relay_inserted(done, events), "staged_messages"
         )
         self._recount(batch_id, "loaded", now, "inserted_row_count")
+        self._note(batch_id, {k: v for k, v in self._notes(batch_id).items() if k != _OPEN_LOAD}, now)
         return new.count(), relay.count()
 
     def load_topics(self, batch_id: int, now: datetime | str) -> int:
@@ -199,6 +253,18 @@ class Migration:
             migration.top_unmapped_topics(*self._staged(batch_id)), batch_id, n
         )
 
+    def remap(self, batch_id: int, now: datetime | str, new_rules: DataFrame | None = None, n: int = 50) -> dict[str, DataFrame]:
+        """Map a batch again, after importing ``new_rules`` if given, and report on it:
+        ``status``, ``summary`` and ``unmapped`` (the ``n`` most frequent topics)."""
+        if new_rules is not None:
+            self.import_rules(new_rules)
+        status = self.apply(batch_id, now)
+        return {"status": status, "summary": self.summary(batch_id), "unmapped": self.top_unmapped(batch_id, n)}
+
+    def import_rules(self, new_rules: DataFrame) -> None:
+        """Add the rules the store lacks, numbered in their order."""
+        self.store.upsert(rules.import_rules(self.store.read("topic_mapping"), new_rules), "topic_mapping")
+
     def dry_run(
         self,
         dump_name: str,
@@ -230,17 +296,19 @@ class Migration:
         now: datetime | str,
         source_timezone: str | None = None,
         batch_days: int = 1,
-        max_batches: int = 100,
+        max_batches: int | None = None,
         load_batches: bool = False,
         include_topics: str = "first",
-    ) -> list[int]:
+    ) -> RangeRun:
         """One batch per slice of ``[start, end)``; the topic snapshot goes with
-        the first, all or none of them."""
+        the first, all or none of them. ``max_batches`` ends the run early; the
+        result then tells where."""
         if include_topics not in ("first", "all", "none"):
-            raise ValueError("include_topics must be one of: first, all, none")
-        batches = []
+            raise ValueError("topics go with the 'first' batch, with 'all' or with 'none'")
+        batches = RangeRun()
         for lo, hi in slices(start, end, batch_days):
-            if len(batches) >= max_batches:
+            if max_batches is not None and len(batches) >= max_batches:
+                batches.stopped_at = lo
                 break
             with_topics = include_topics == "all" or (include_topics == "first" and not batches)
             notes = {"from_time": lo, "to_time": hi, "range_runner": True}

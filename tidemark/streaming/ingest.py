@@ -59,7 +59,10 @@ def start_ingest(
 def inventory_batch(
     store: Store, raw: DataFrame, batch: str, reference_time: datetime | str
 ) -> None:
-    """Record one batch's arrivals per topic; the overview is folded from them."""
+    """Record one batch's arrivals per topic; the overview is folded from them.
+
+    Messages that cannot be counted go to quarantine.
+    """
     reference = clock.instant_lit(clock.to_us(reference_time))
     stamped = raw if "committed_at" in raw.columns else raw.withColumn("committed_at", reference)
     store.append(
@@ -67,6 +70,7 @@ def inventory_batch(
         "topic_arrivals",
         batch,
     )
+    store.append(normalize.quarantined_topics(stamped), "quarantined_messages", batch)
 
 
 def start_inventory(
