@@ -170,3 +170,13 @@ def test_one_exchange_of_raw_rows(spark, sf):
     # outside the range once, after combining.
     assert text.count("Exchange hashpartitioning") == 3
     assert "PythonUDF" not in text and "CartesianProduct" not in text
+
+
+def test_kept_sample_of_the_last_instant_is_not_nan(spark):
+    from tidemark.operators import timeweight as tw
+
+    rows = spark.createDataFrame(
+        [("a", 5, 1, float("nan")), ("a", 5, 1, 2.0), ("a", 4, 1, 7.0)], "g string, t_us long, tie_us long, v double"
+    )
+    row = tw.nearest_samples(rows, ["g"]).first()
+    assert (row.first_us, row.first_v, row.last_us, row.last_v) == (4, 7.0, 5, 2.0)

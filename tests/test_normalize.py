@@ -73,6 +73,46 @@ def test_malformed_metadata_is_quarantined(spark):
     assert [r.payload for r in normalize.quarantined_messages(raw).collect()] == ["5"]
 
 
+def test_broken_metadata_is_quarantined_everywhere(spark):
+    texts = ["not json", "", '{"a":1} x', "[1,2]", '"text"', "null", '{"sequence":"x"}', '{"sequence":"4"}', None]
+    raw = spark.createDataFrame([(DEMO, f"{i}", AT, m, AT) for i, m in enumerate(texts)], schemas.RAW_MESSAGE)
+    kept = {r.payload for r in normalize.normalize_messages(raw).collect()}
+    turned_down = {r.payload: r.reject_reason for r in normalize.quarantined_messages(raw).collect()}
+    assert kept == {"3", "4", "5", "7", "8"}
+    assert turned_down == {**dict.fromkeys("012", "malformed metadata"), "6": "malformed metadata sequence"}
+    assert normalize.topic_inventory(raw).first().message_count == 5
+    assert {r.payload: r.reject_reason for r in normalize.quarantined_topics(raw).collect()} == turned_down
+
+
+MOMENTS = {
+    "2024-01-02": "2024-01-02 00:00:00",
+    "2024-01-02T10:00:00Z": "2024-01-02 10:00:00",
+    " 2024-1-2 3:04:05.25+02:00 ": "2024-01-02 01:04:05.250000",
+    "2024/01/02 10:00:00": "2024-01-02 10:00:00",
+    "20240102": "2024-01-02 00:00:00",
+    "20240102T100000Z": "2024-01-02 10:00:00",
+    "20240102 100000+02": "2024-01-02 08:00:00",
+    "2024-01-02 10:00:00 -0330": "2024-01-02 13:30:00",
+    "01/02/2024 10:00": "2024-01-02 10:00:00",
+    "1-2-2024": "2024-01-02 00:00:00",
+    "2 January 2024 10:00:00": "2024-01-02 10:00:00",
+    "Jan 2, 2024": "2024-01-02 00:00:00",
+    "2024-Jan-02 10:00": "2024-01-02 10:00:00",
+    "2024-13-02": None,
+    "Foo 2, 2024": None,
+    "yesterday noon": None,
+    "10:00": None,
+    "": None,
+}
+
+
+def test_moments(spark):
+    texts = spark.createDataFrame([(t,) for t in MOMENTS], "t string")
+    moment = parse.moment(F.col("t")).cast("string")
+    got = {r.t: r.m for r in texts.select("t", moment.alias("m")).collect()}
+    assert got == {t: m and m.rstrip("0").rstrip(".") if m and "." in m else m for t, m in MOMENTS.items()}
+
+
 def test_relay_events_need_a_bare_state(spark):
     topic = "shellies/plug1/relay/0"
     payloads = [" ON ", "off", "overpower", '"on"', '{"value":"Off"}']

@@ -44,10 +44,54 @@ def whole_number(text: Column) -> Column:
     )
 
 
+# Fixed value: the months by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+# Other spellings of a date at the start of a text, and the ISO order of their parts.
+_SLASHED = (r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)", "$1-$2-$3")
+_COMPACT = (r"^(\d{4})(\d{2})(\d{2})(?![\d])", "$1-$2-$3")
+_MONTH_FIRST = (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?!\d)", "$3-$1-$2")
+_NAMED = (
+    (r"^(\d{1,2})[ -]([A-Za-z]{3,9})[ -](\d{4})(?!\d)", 2, "$3-#-$1"),
+    (r"^([A-Za-z]{3,9})[ -](\d{1,2}),?[ -](\d{4})(?!\d)", 1, "$3-#-$2"),
+    (r"^(\d{4})[ -]([A-Za-z]{3,9})[ -](\d{1,2})(?!\d)", 2, "$1-#-$3"),
+)
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?([Zz]|UTC|[+-]\d{2}:\d{2}))?)?\z"
+
+# Times without colons, and zones of hours or hours and minutes without one.
+_COMPACT_TIME = (r"^(\S+?)[T ](\d{2})(\d{2})(\d{2})(?!\d)", "$1 $2:$3:$4")
+_HOUR_ZONE = (r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2})\z", "$1$2:00")
+_MINUTE_ZONE = (r"(:\d{2}(?:\.\d+)?) ?([+-]\d{2})(\d{2})\z", "$1$2:$3")
+
+
 def moment(text: Column) -> Column:
-    """ISO-8601 date or date-time text, UTC unless it carries an offset."""
-    looks_iso = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}.*)?\s*\z")
-    return F.when(looks_iso, F.btrim(text).try_cast("timestamp"))
+    """Date or date-time text, UTC unless it carries an offset; else NULL.
+
+    ISO 8601 with or without separators, year or month first with slashes, and dates with the
+    English name of the month.
+    """
+    out = F.btrim(text)
+    numbers = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for x in (m, str(i + 1))])
+    named = F.lit(None).cast("string")
+    for pattern, group, order in reversed(_NAMED):
+        month = F.try_element_at(numbers, F.lower(F.substring(F.regexp_extract(out, pattern, group), 1, 3)))
+        placed = F.replace(F.regexp_replace(out, pattern, order), F.lit("#"), month)
+        named = F.when(out.rlike(pattern), placed).otherwise(named)
+    for pattern, order in (_SLASHED, _COMPACT, _MONTH_FIRST):
+        out = F.regexp_replace(out, pattern, order)
+    out = F.coalesce(named, out)
+    for pattern, order in (_COMPACT_TIME, _HOUR_ZONE, _MINUTE_ZONE):
+        out = F.regexp_replace(out, pattern, order)
+    # Most texts are ISO as they are and need none of this.
+    plain = F.btrim(text)
+    return F.when(plain.rlike(_ISO), plain.try_cast("timestamp")).when(out.rlike(_ISO), out.try_cast("timestamp"))
+
+
+def json_wrapped(text: Column) -> Column:
+    """The text as a variant holding ``[value]``, or NULL unless it is exactly one JSON value."""
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return F.when(in_object.isNotNull() & ~text.rlike(r"^[ \t\n\r]*\z"), in_array)
 
 
 def json_object(text: Column) -> Column:
@@ -58,9 +102,7 @@ def json_object(text: Column) -> Column:
     in an array and once in an object leaves no continuation valid in both, so
     trailing characters make at least one of the two parses fail.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return F.when(text.rlike(r"^[ \t\n\r]*\{") & in_object.isNotNull(), in_array)
+    return F.when(text.rlike(r"^[ \t\n\r]*\{"), json_wrapped(text))
 
 
 def object_field(parsed: Column, name: str) -> Column:

@@ -24,7 +24,7 @@ def _decoded(raw: DataFrame) -> DataFrame:
     parsed = text.withColumns(
         {
             "_body": parse.json_object(F.col("payload")),
-            "_meta": parse.json_object(F.col("metadata")),
+            "_meta": parse.json_wrapped(F.col("metadata")),
         }
     )
     fields = _text_fields(parsed)
@@ -49,9 +49,9 @@ def _decoded(raw: DataFrame) -> DataFrame:
             "published_at": F.coalesce(
                 F.col("_body_published"), parse.moment(F.col("_meta_published"))
             ),
-            "reject_reason": F.when(bad_sequence, F.lit("malformed metadata sequence")).when(
-                bad_published, F.lit("malformed metadata published_at")
-            ),
+            "reject_reason": F.when(F.col("_meta_broken"), F.lit("malformed metadata"))
+            .when(bad_sequence, F.lit("malformed metadata sequence"))
+            .when(bad_published, F.lit("malformed metadata published_at")),
         }
     )
 
@@ -72,6 +72,7 @@ def _text_fields(parsed: DataFrame) -> DataFrame:
 
     overflowed = F.coalesce(parse.overflowed_number(body, "value"), F.lit(False))
     fields = F.struct(
+        meta.isNull().alias("_meta_broken"),
         F.when(body.isNull(), F.col("payload"))
         .otherwise(F.when(~overflowed, in_body("value")))
         .alias("value_text"),
@@ -136,7 +137,7 @@ def topic_inventory(
     First and last follow arrival order, so ``last_seen_at`` can move backwards
     when a message arrives late. Trace fields come from metadata only.
     """
-    typed = _inventory_fields(raw).where(~F.col("_malformed"))
+    typed = _inventory_fields(raw).where(F.col("_malformed").isNull())
     order = F.struct(*[F.col(c) for c in arrival], F.col("received_at"), F.col("payload"))
     last = F.max(
         F.struct(
@@ -173,8 +174,8 @@ def quarantined_topics(raw: DataFrame) -> DataFrame:
     """Messages the inventory cannot count because of their metadata, with the reason."""
     return (
         _inventory_fields(raw)
-        .where(F.col("_malformed"))
-        .withColumn("reject_reason", F.lit("malformed metadata sequence"))
+        .where(F.col("_malformed").isNotNull())
+        .withColumn("reject_reason", F.col("_malformed"))
         .select("topic", "payload", "received_at", "metadata", "reject_reason")
     )
 
@@ -182,7 +183,7 @@ def quarantined_topics(raw: DataFrame) -> DataFrame:
 def _inventory_fields(raw: DataFrame) -> DataFrame:
     prepare(raw.sparkSession)
     parsed = raw.withColumn("metadata", F.coalesce(F.col("metadata"), F.lit("{}"))).withColumn(
-        "_meta", parse.json_object(F.col("metadata"))
+        "_meta", parse.json_wrapped(F.col("metadata"))
     )
 
     def field(name: str) -> Column:
@@ -195,7 +196,9 @@ def _inventory_fields(raw: DataFrame) -> DataFrame:
             "_trace_id": field("trace_id"),
             "_publisher_id": field("publisher_id"),
             "_sequence": parse.whole_number(sequence_text),
-            "_malformed": sequence_text.isNotNull() & parse.whole_number(sequence_text).isNull(),
+            "_malformed": F.when(F.col("_meta").isNull(), "malformed metadata").when(
+                sequence_text.isNotNull() & parse.whole_number(sequence_text).isNull(), "malformed metadata sequence"
+            ),
         }
     )
 

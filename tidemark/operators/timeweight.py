@@ -138,16 +138,16 @@ def summarise_sliced(rows: DataFrame, keys: Sequence[str], tie: Sequence[str]) -
 
 def nearest_samples(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     """First and last sample per group, combined before the shuffle. Of several
-    samples at the last instant the first in tie order is the kept one."""
+    samples at the last instant the first in tie order is the kept one; NaN is the largest value."""
     first = "min(IF(v IS NOT NULL, struct(t_us, tie_us, v), NULL))"
-    last = "max(IF(v IS NOT NULL, struct(t_us, -tie_us AS tie_us, -v AS v), NULL))"
+    last = "min(IF(v IS NOT NULL, struct(-t_us AS back_us, tie_us, v), NULL))"
     ends = rows.groupBy(*group).agg(F.expr(first).alias("_first"), F.expr(last).alias("_last"))
     return ends.where("_first IS NOT NULL").selectExpr(
         *group,
         "_first.t_us AS first_us",
         "_first.v AS first_v",
-        "_last.t_us AS last_us",
-        "-_last.v AS last_v",
+        "-_last.back_us AS last_us",
+        "_last.v AS last_v",
     )
 
 

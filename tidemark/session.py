@@ -21,8 +21,8 @@ ADVISED_CONF = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to an existing session."""
-    for key, value in {**REQUIRED_CONF, **ADVISED_CONF}.items():
+    """Apply the required settings to an existing session; the advised ones are its owner's choice."""
+    for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -40,6 +40,6 @@ def local_session(app: str = "tidemark", cores: str = "*", **conf: str) -> Spark
         # Skips recording a Python stack per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in conf.items():
+    for key, value in {**ADVISED_CONF, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
