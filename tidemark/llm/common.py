@@ -104,8 +104,9 @@ def maybe_among(rows: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame
     bit = byte.bitwiseAND(F.expr(f"shiftleft(1, CAST({at} % 8 AS INT))"))
     return (
         rows.withColumn(slot, spot)
-        .withColumn(page, F.expr(f"bitmap_bucket_number({slot})"))
-        .withColumn(at, F.expr(f"bitmap_bit_position({slot})"))
+        # Never null, so that no null check is pushed down to where it would evaluate the key again.
+        .withColumn(page, F.coalesce(F.expr(f"bitmap_bucket_number({slot})"), F.lit(-1)))
+        .withColumn(at, F.coalesce(F.expr(f"bitmap_bit_position({slot})"), F.lit(-1)))
         .join(F.broadcast(marks), page)
         .where(bit != 0)
         .select(*rows.columns)

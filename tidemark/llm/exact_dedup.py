@@ -97,18 +97,10 @@ def exact_dedup(
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; repeated rows stay once."""
-    stay_id, stay_sha = unique_name(docs, "_stay_id"), unique_name(docs, "_stay_sha")
-    stay = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("id").alias(stay_id), F.unhex("text_sha256").alias(stay_sha)
-    )
-    sha = unique_name(docs, "_sha")
-    return (
-        docs.withColumn(sha, F.unhex(F.sha2(normalised(text_col), 256)))
-        .join(
-            stay,
-            F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(sha) == F.col(stay_sha)),
-            "left_semi",
-        )
-        .dropDuplicates([id_col, sha])
-        .select(*docs.columns)
-    )
+    row = unique_name(docs, "_row")
+    stay = exact_dedup(docs, id_col, text_col).where("kept")
+    # Nulls inside a struct compare as equal; one key serves the join and what follows it.
+    stay = stay.select(F.struct("id", F.unhex("text_sha256").alias("sha")).alias(row))
+    sha = F.unhex(F.sha2(normalised(text_col), 256))
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).alias("id"), sha.alias("sha")))
+    return keyed.join(stay, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
