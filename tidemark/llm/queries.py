@@ -91,6 +91,41 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+        w AS (
+            SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words, string_split(body, chr(10)) AS lines
+            FROM d),
+        windows AS (
+            SELECT doc_id, spot, array_to_string(list_slice(words, spot, spot + 4), ' ') AS gram
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS spot FROM w WHERE len(words) >= 5)),
+        again AS (SELECT doc_id, spot, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM windows),
+        repeats AS (
+            SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+            FROM (SELECT doc_id, unnest(range(spot, spot + 5)) AS place FROM again WHERE n > 1) GROUP BY doc_id),
+        measured AS (
+            SELECT doc_id, body, words, lines, len(words)::BIGINT AS n_words,
+                   length(array_to_string(words, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+                   list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines,
+                   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+            FROM w LEFT JOIN repeats USING (doc_id)),
+        counted AS (
+            SELECT *, (len(full_lines) - len(list_distinct(full_lines)))::BIGINT AS n_dup_lines,
+                   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+            FROM measured)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed
+                    OR 10 * n_symbols > n_words
+                    OR word_chars < 2 * n_words
+                    OR word_chars > 20 * n_words
+                    OR n_dup_lines > 0.3 * len(lines)
+                    OR len(regexp_extract_all(body, '\p{Lu}')) > 0.4 * word_chars
+                    OR len(regexp_extract_all(body, '[!?]')) > 0.2 * n_words
+                    OR 5 * len(list_filter(words, lambda x: NOT regexp_matches(x, '\p{L}'))) > n_words
+                    OR len(regexp_extract_all(body, '(?:\.\.\.|…)[\x20\x09\x0B-\x0D]*(?:\n|$)')) > 0.3 * len(lines)
+               ) AS kept
+        FROM counted""",
     "op5_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
