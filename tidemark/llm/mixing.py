@@ -102,10 +102,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     names = [unique_name(docs, f"_mix_{c}") for c in ("key", "copies", "take_nth", "nth")]
     key, copies, take_nth, nth = names
     numbered = Window.partitionBy(key).orderBy(F.lit(0))
-    # Nulls inside a struct compare as equal, so the key serves the window and the join alike.
+    # Nulls inside a struct compare as equal, so the key serves the window and the join alike, if
+    # it has the same type on both sides, nullability included.
     take = (
         mixture(docs, id_col, text_col, source_col, **options)
-        .select(F.struct("id", "source", "size").alias(key), F.col("copies").alias(copies))
+        .select(
+            F.struct("id", "source", F.coalesce("size", F.lit(0)).alias("size")).alias(key), F.col("copies").alias(copies)
+        )
         .withColumn(take_nth, F.row_number().over(Window.partitionBy(key).orderBy(copies)))
         .where(F.col(copies) > 0)
     )
@@ -117,7 +120,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
             n_words_of(F.col(text_col)).alias("size"),
         ),
     ).withColumn(nth, F.row_number().over(numbered))
-    # The number is compared after the join on the key, which keeps the rows where the window put them.
-    joined = rows.join(take, key).where(F.col(nth) == F.col(take_nth))
+    # Written as a range, the number is no join key, and the rows stay where the window put them.
+    joined = rows.join(take, key).where(F.col(nth).between(F.col(take_nth), F.col(take_nth)))
     repeated = joined.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return repeated.select(*docs.columns)

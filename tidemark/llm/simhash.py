@@ -169,8 +169,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     row = unique_name(docs, "_row")
     found = near_duplicates(docs, id_col, text_col, **options)
     stay = found.where(F.col("id").eqNullSafe(F.col("component_id")))
-    # Nulls inside a struct compare as equal.
-    stay = stay.select(F.struct("id", "text_key").alias(row))
+    # Nulls inside a struct compare as equal. Both keys have the same type, nullability included:
+    # otherwise one is cast, and the documents are exchanged once more.
+    stay = stay.select(F.struct("id", F.coalesce("text_key", F.lit(0)).alias("text_key")).alias(row))
     keyed = docs.withColumn(row, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key")))
     return keyed.join(stay, row, "left_semi").dropDuplicates([row]).select(*docs.columns)
 
