@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bind, maybe_among, running, text_or_empty, unique_name, words_of, written
+from tidemark.llm.common import SPACE, bind, maybe_among, running, text_or_empty, unique_name, written
+from tidemark.operators.ranking import ranked
 
 
 def _xor(a: Column, b: Column) -> Column:
@@ -13,69 +14,83 @@ def _xor(a: Column, b: Column) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``row``, ``at``, ``words`` and ``key`` (a hash of the words) of each line long enough."""
+    """``row``, ``at``, ``line`` (its words, one space apart) and ``key`` (a hash) of each line long enough."""
     body = text_or_empty(text_col)
+    # Short lines are left out before the rows are made: a filter behind would do all this again.
+    split = F.transform(
+        F.split(body, "\n"), lambda x, i: F.struct(i.alias("at"), F.trim(F.regexp_replace(x, SPACE, " ")).alias("line"))
+    )
+    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
+    long_enough = F.filter(split, lambda x: (spaces(x["line"]) >= min_words - 1) & (x["line"] != ""))
+    row = F.struct(F.col(id_col).alias("id"), F.xxhash64(body).alias("text_key"))
     return (
-        docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(body).alias("text_key")).alias("row"), F.posexplode(F.split(body, "\n")).alias("at", "line"))
-        .select("row", "at", words_of(F.col("line")).alias("words"))
-        .where(F.size("words") >= min_words)
-        .withColumn("key", F.xxhash64("words"))
+        docs.select(row.alias("row"), F.explode(long_enough).alias("line"))
+        .select("row", "line.at", "line.line")
+        .withColumn("key", F.xxhash64("line"))
     )
 
 
 def _half_keys(words: Column) -> Column:
-    """Hashes of the first and last halves: lines a word apart agree in one of them.
+    """(``ahead``, ``half``): hashes of the first and last halves, as lines a word apart agree in one.
 
     A half has as many words as half of the shorter line, so each line has those for being
     the shorter and for being the longer one.
     """
 
     def halves(n: Column) -> Column:
+        # Joined first: hashing one text is cheaper than hashing its words.
+        first = F.xxhash64(F.lit(0), n, F.array_join(F.slice(words, 1, n), " "))
+        last = F.xxhash64(F.lit(1), n, F.array_join(F.slice(words, -n, n), " "))
         return F.array(
-            F.xxhash64(F.lit(0), n, F.slice(words, 1, n)), F.xxhash64(F.lit(1), n, F.slice(words, -n, n))
+            F.struct(F.lit(True).alias("ahead"), first.alias("half")),
+            F.struct(F.lit(False).alias("ahead"), last.alias("half")),
         )
 
     n = F.size(words)
-    return F.array_distinct(
-        F.concat(bind(F.floor(n / 2).cast("int"), halves), bind(F.floor((n - 1) / 2).cast("int"), halves))
+    longer = F.floor(n / 2).cast("int")
+    # For an odd number of words the two are the same.
+    both = F.concat(bind(longer, halves), bind(longer - 1, halves))
+    return F.when((n % 2 == 0) & (n > 2), both).otherwise(bind(longer, halves))
+
+
+def _places(low: Column, middle: Column, high: Column, ahead: Column, behind: Column) -> Column:
+    """The numbers from ``low`` below ``middle`` if ``behind``, and from there below ``high`` if ``ahead``."""
+    none = F.array().cast("array<int>")
+    return F.concat(
+        F.when(behind & (low < middle), F.sequence(low, middle - 1)).otherwise(none),
+        F.when(ahead & (middle < high), F.sequence(middle, high - 1)).otherwise(none),
     )
 
 
-def _variants(words: Column) -> Column:
-    """Hashed keys of the line with one word left out, and of the line as what is left of a longer one.
+def _variants(words: Column, ahead: Column, behind: Column) -> Column:
+    """Hashed keys (``a``, ``b``) of the line with one word left out, and of the line as what is left of a longer one.
 
     Equal keys mean that all words before and all after a place agree: ``swap`` keys join lines of
     one length that differ at that place, ``gap`` keys a line and one with a word more there.
     Words are hashed with their distance from the start, and from the end, so that all parts
-    come from running totals, in time linear in the line.
+    come from running totals, in time linear in the line. If only the first half is shared with
+    another line (``ahead``) the places in it need no keys, nor if only the last is (``behind``).
     """
     n = F.size(words)
-
-    def keys(seed: int) -> Column:
-        ahead = F.transform(words, lambda w, i: F.xxhash64(w, i, F.lit(seed)))
-        behind = F.transform(words, lambda w, i: F.xxhash64(w, n - i, F.lit(-1 - seed)))
-        zero = F.array(F.lit(0).cast("long"))
-        return bind(
-            F.concat(zero, running(ahead, "long", _xor)),
-            lambda p: bind(F.concat(zero, running(behind, "long", _xor)), lambda s: body(p, s)),
-        )
+    zero = F.array(F.lit(0).cast("long"))
+    from_start = F.transform(words, lambda w, i: F.xxhash64(w, i))
+    from_end = F.transform(words, lambda w, i: F.xxhash64(w, i - n))
 
     def body(p: Column, s: Column) -> Column:
         # p[i]: words before i. s[n] ^ s[i]: words from i on.
-        def rest(i: Column) -> Column:
-            return F.get(s, n).bitwiseXOR(F.get(s, i))
+        def keys(name: str, size: Column, high: Column, skipped: int) -> Column:
+            def key(i: Column) -> Column:
+                a = F.get(p, i).bitwiseXOR(F.xxhash64(F.lit(name), size, i))
+                return F.struct(a.alias("a"), F.get(s, n).bitwiseXOR(F.get(s, i + skipped)).alias("b"))
 
-        def key(name: str, size: Column, i: Column, after: Column) -> Column:
-            return F.xxhash64(F.lit(name), size, i, F.get(p, i), rest(after))
+            return F.transform(_places(F.lit(0), F.floor(size / 2).cast("int"), high, ahead, behind), key)
 
-        inside, around = F.sequence(F.lit(0), n - 1), F.sequence(F.lit(0), n)
-        return F.concat(
-            F.transform(inside, lambda i: key("swap", n, i, i + 1)),
-            F.transform(inside, lambda i: key("gap", n - 1, i, i + 1)),
-            F.transform(around, lambda i: key("gap", n, i, i)),
-        )
+        return F.concat(keys("swap", n, n, 1), keys("gap", n - 1, n, 1), keys("gap", n, n + 1, 0))
 
-    return F.arrays_zip(keys(1).alias("a"), keys(2).alias("b"))
+    return bind(
+        F.concat(zero, running(from_start, "long", _xor)),
+        lambda p: bind(F.concat(zero, running(from_end, "long", _xor)), lambda s: body(p, s)),
+    )
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -108,55 +123,72 @@ def repeated_lines(
     as earlier than each other and get the same result. Other columns are not read; no rows give
     no rows.
     """
+    if min_words < 2:
+        raise ValueError("lines of one word have no halves")
     lines = _lines(docs, id_col, text_col, min_words)
-    first = F.min(F.struct(F.col("row.id").alias("id"), "at")).alias("first")
+    place = F.struct(F.col("row.id").alias("id"), "at")
     keyed = written(
-        lines.select("row", "at", "key", F.xxhash64(F.lit(1), "words").alias("key2"), _half_keys(F.col("words")).alias("halves")),
+        lines.select(
+            "row",
+            "at",
+            "key",
+            F.xxhash64(F.lit(1), "line").alias("key2"),
+            bind(F.split("line", " "), _half_keys).alias("halves"),
+        ),
         "lines",
     )
-    firsts = written(keyed.groupBy("key", "key2").agg(first), "line-firsts")
-    halves = keyed.select("key", F.explode("halves").alias("half"))
+    firsts = written(
+        keyed.groupBy("key", "key2").agg(F.min(place).alias("first"), F.count("*").alias("n")), "line-firsts"
+    )
+    halves = keyed.select("key", F.explode("halves").alias("h")).select("key", "h.ahead", "h.half")
     shared = halves.groupBy("half").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
-    close = written(halves.join(shared.select("half"), "half").select("key").distinct(), "line-candidates")
-    # The words of each candidate once, with its first occurrence.
+    shared = written(shared.select("half"), "line-halves")
+    close = written(
+        maybe_among(halves, shared, "half")
+        .join(shared, "half")
+        .groupBy("key")
+        .agg(F.max("ahead").alias("ahead"), F.max(~F.col("ahead")).alias("behind")),
+        "line-candidates",
+    )
+    # The text of each candidate once; the bitmap keeps the others out of the exchange.
     texts = (
         maybe_among(lines, close)
-        .join(close, "key", "left_semi")
-        .groupBy("words")
-        .agg(F.min("key").alias("key"), first)
-        .withColumn("key2", F.xxhash64(F.lit(1), "words"))
-    )
-    texts = written(texts, "line-texts")
-    variants = texts.select("key", "key2", "first", F.explode(_variants(F.col("words"))).alias("variant"))
-    variants = variants.select("key", "key2", "first", "variant.*").toDF("key", "key2", "first", "a", "b")
-    earliest = variants.groupBy("a", "b").agg(
-        F.min(F.struct("first", "key", "key2")).alias("e"), F.count("*").alias("n")
+        .groupBy("line")
+        .agg(F.min("key").alias("key"), F.min(place).alias("first"))
+        .join(close, "key")
+        .withColumn("key2", F.xxhash64(F.lit(1), "line"))
     )
-    linked = variants.join(earliest.where("n > 1"), ["a", "b"]).where("e.first < first")
-    linked = linked.select("key", "key2", "e").distinct()
-    mine = texts.select("key", "key2", "words")
-    other = texts.select(
-        F.col("key").alias("e_key"), F.col("key2").alias("e_key2"), F.col("words").alias("e_words")
+    # Numbered in the order of their first occurrence, so the least number is the earliest.
+    texts = ranked(written(texts, "line-texts"), "nth", 0, "first", "key", "key2")
+    keys = bind(F.split("line", " "), lambda w: _variants(w, F.col("ahead"), F.col("behind")))
+    variants = texts.select("nth", F.explode(keys).alias("v"))
+    variants = written(variants.select("nth", "v.a", "v.b"), "line-variants")
+    earliest = written(
+        variants.groupBy("a", "b").agg(F.min("nth").alias("e_nth"), F.count("*").alias("n")).where("n > 1").drop("n"),
+        "line-neighbours",
     )
+    linked = maybe_among(variants, earliest, "a").join(earliest, ["a", "b"]).where("e_nth < nth")
+    linked = linked.select("nth", "e_nth").distinct()
+    other = texts.select(F.col("nth").alias("e_nth"), F.col("line").alias("e_line"), F.col("first").alias("e_first"))
+    close_by = bind(F.split("line", " "), lambda a: bind(F.split("e_line", " "), lambda b: within_one_word(a, b)))
     proven = (
-        linked.select("key", "key2", "e.first", F.col("e.key").alias("e_key"), F.col("e.key2").alias("e_key2"))
-        .join(other, ["e_key", "e_key2"])
-        .join(mine, ["key", "key2"])
-        .where(within_one_word(F.col("words"), F.col("e_words")))
+        linked.join(other, "e_nth")
+        .join(texts.select("nth", "key", "key2", "line"), "nth")
+        .where(close_by)
         .groupBy("key", "key2")
-        .agg(F.min("first").alias("near"))
+        .agg(F.min("e_first").alias("near"))
     )
+    # Only lines that may be dropped somewhere: those met twice, or with an earlier neighbour.
     known = written(
-        firsts.join(proven, ["key", "key2"], "left").select(
-            "key", "key2", F.least(F.col("first"), F.coalesce("near", "first")).alias("earliest")
-        ),
+        firsts.join(proven, ["key", "key2"], "left")
+        .where("n > 1 OR near < first")
+        .select("key", "key2", F.least(F.col("first"), F.coalesce("near", "first")).alias("earliest")),
         "line-earliest",
     )
-    own = F.struct(F.col("row.id").alias("id"), "at")
     dropped = (
-        keyed.select("row", "at", "key", "key2")
+        maybe_among(keyed.select("row", "at", "key", "key2"), known)
         .join(known, ["key", "key2"])
-        .where(F.col("earliest") < own)
+        .where(F.col("earliest") < place)
         .groupBy("row")
         .agg(F.sort_array(F.collect_set("at")).alias("dropped"))
     )
