@@ -126,6 +126,18 @@ def test_packing_on_odd_rows(spark):
     assert packing.packed(cases.odd_docs(spark)).where("id IS NULL").count() > 0
 
 
+def test_added_tokens_in_texts_have_their_ids(spark):
+    """Held to the tokenizer as its file defines it, with no option set."""
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>", "a<|endoftext|", "x\n<|endoftext|>\n\ny é", "no token"]
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {i: (n, crc) for i, n, crc in cases.of(packing.packed(docs), "id", "length", "ids_crc32")}
+    for i, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+
+
 def test_local_search_empties_bins():
     random.seed(9)
     for _ in range(20):

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -22,14 +24,29 @@ from tidemark.llm.common import written
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ids of byte_bpe_50k.json as ranks
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of the vocabulary whose ranks are in ``path``, from the json file beside it."""
+    whole = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(whole):
+        return {}
+    with open(whole, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError(f"{whole}: added tokens that depend on what is around them")
+    return {t["content"]: t["id"] for t in found}
+
+
 def encoder(path: str) -> tiktoken.Encoding:
-    """The byte-level encoder of a rank file, made once per worker process."""
+    """The byte-level encoder of a rank file with its added tokens, made once per worker process."""
     known = tiktoken.registry.ENCODINGS
     if path not in known:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         known[path] = tiktoken.Encoding(
-            os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            os.path.basename(path),
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=ranks,
+            special_tokens=added_tokens(path),
         )
     return known[path]
 
@@ -45,7 +62,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: i
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = partial(encoder(path).encode, allowed_special="all")
         for batch in batches:
             of, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
@@ -203,7 +220,8 @@ def packed(
 ) -> DataFrame:
     """Each piece with its place: ``id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
-    A document is its tokens and ``end_id``; null texts are empty. Only documents longer than
+    A document is its tokens and ``end_id``; null texts are empty. Added tokens of the vocabulary
+    count as such where a text spells them. Only documents longer than
     ``capacity`` are cut. Full pieces are sequences by themselves. The others are dealt by hash to
     blocks of about ``block_pieces``; a block is filled by best fit and improved by local search.
     Sequences at least ``settled`` full are final; pieces of the others meet again in fewer
