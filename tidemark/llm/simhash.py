@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -35,17 +35,19 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
+def shingles(text: str | None, shingle: int) -> Iterable[bytes]:
+    """Each run of ``shingle`` words; a shorter text is one, a text without words has none."""
     # bytes.split() splits at exactly the white space that bounds words here.
     words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return 0
     if len(words) <= shingle:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+        return [b" ".join(words)] if words else []
+    return map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
     digest = xxhash.xxh64_digest
-    return majority_bits(np.frombuffer(b"".join([digest(s, SEED) for s in shingles]), ">u8").astype("<u8"))
+    hashes = b"".join([digest(s, SEED) for s in shingles(text, shingle)])
+    return majority_bits(np.frombuffer(hashes, ">u8").astype("<u8"))
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -148,7 +150,14 @@ def near_duplicates(
     """
     rows = written(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
     nodes = written(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-nodes")
-    found = component_minimum(written(links(nodes, distance, bucket_pairs=bucket_pairs), "simhash-links"))
+    return labelled(rows, written(links(nodes, distance, bucket_pairs=bucket_pairs), "simhash-links"), nodes)
+
+
+def labelled(rows: DataFrame, linked_by: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """The rows (``id``, ``text_key``, ``fp``) with the least id of what the links of ``fp`` connect."""
+    if nodes is None:
+        nodes = written(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-nodes")
+    found = component_minimum(linked_by)
     linked = found.withColumnRenamed("node", "fp").join(nodes, "fp")
     least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = linked.join(least, "component").select("fp", "component_id", F.lit(True).alias("in_component"))
@@ -166,8 +175,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows that repeat id and text stay once; rows without an id stay only where a whole component
     has none.
     """
+    return keep_least(docs, near_duplicates(docs, id_col, text_col, **options), id_col, text_col)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents whose id is the ``component_id`` that ``found`` has for their id and text."""
     row = unique_name(docs, "_row")
-    found = near_duplicates(docs, id_col, text_col, **options)
     stay = found.where(F.col("id").eqNullSafe(F.col("component_id")))
     # Nulls inside a struct compare as equal. Both keys have the same type, nullability included:
     # otherwise one is cast, and the documents are exchanged once more.
