@@ -9,26 +9,35 @@ from tidemark.llm.exact_dedup import drop_exact_duplicates
 from tidemark.llm.importance import keep_sampled
 from tidemark.llm.mixing import mixed
 from tidemark.llm.packing import packed
-from tidemark.llm.similar import drop_similar
+from tidemark.llm.simhash import drop_near_duplicates
+
+
+# Of all stages: nulls, empty texts, ties, repeated rows and extra columns are treated as the operator
+# named says; columns stay those of ``docs`` in all but the last; no rows give no rows.
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that importance resampling keeps (``importance.keep_sampled``)."""
     return keep_sampled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the least id (``exact_dedup.drop_exact_duplicates``)."""
     return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_similar(docs)
+    """Of fingerprints of three-word shingles that link within two bits, the document with the least id."""
+    return drop_near_duplicates(docs, shingle=3, distance=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, zero to two times (``mixing.mixed``)."""
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences (``packing.packed``)."""
     return packed(docs).withColumnRenamed("id", "doc_id")
 
 
