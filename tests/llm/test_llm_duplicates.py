@@ -97,30 +97,6 @@ def test_simhash_query(spark, sf):
     assert sorted(got, key=str) == near_by_brute_force(texts)
 
 
-def five_word_sets(text):
-    w = cases.words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([tuple(w)] if w else [])
-
-
-def test_near_dedup_stage_against_brute_force_jaccard(spark, sf):
-    random.seed(6)
-    planted = []
-    for g in range(6):
-        base = [f"g{g}w{random.randrange(400)}" for _ in range(150)]
-        for i in range(30):
-            edited = list(base)
-            for _ in range(i % 8):
-                edited[random.randrange(150)] = f"z{g}x{i}y{random.randrange(9)}"
-            planted.append((100_000 - 100 * g - i, " ".join(edited[: 150 - i % 5])))
-    rows = [r for r in cases.of(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id", "text")] + planted
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    sets = {i: five_word_sets(t) for i, t in rows}
-    close = lambda a, b: sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
-    want = set(cases.components(list(sets), close).values())
-    got = [i for (i,) in cases.of(dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, sf), "doc_id")]
-    assert sorted(got) == sorted(want)
-
-
 def test_near_dedup_stage_on_odd_rows(spark, sf):
     stage = dict(corpus_pipeline.STAGES)["near dedup"]
     docs = cases.odd_docs(spark)
