@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, importance, line_dedup, mixing, packing, pii, quality_rules, secrets, sharding, simhash
+from tidemark.llm import (
+    exact_dedup,
+    importance,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    secrets,
+    sharding,
+    simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +89,10 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -88,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_language_id": op11_language_id,
 }
 
 SQL: dict[str, str] = {
