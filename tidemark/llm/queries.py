@@ -15,6 +15,7 @@ from tidemark.llm import (
     mixing,
     packing,
     pii,
+    prefix_trie,
     quality_rules,
     secrets,
     sharding,
@@ -93,6 +94,11 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_language_id": op11_language_id,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
@@ -184,4 +191,54 @@ SQL: dict[str, str] = {
             SELECT *, (floor(start + place * rate) - floor(start + (place - 1) * rate))::BIGINT AS copies
             FROM placed)
         SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken""",
+    "op13_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (
+            SELECT i, list_reduce(list_prepend(i, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS word
+            FROM range(256) AS t(i)),
+        table_ AS (SELECT list(word ORDER BY i) AS words FROM crc),
+        ids AS (SELECT DISTINCT conv_id FROM turns),
+        hashed AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS base,
+                   (xor(list_reduce(list_prepend(4294967295,
+                        list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                        lambda c, b: xor(c >> 8, words[xor(c & 255, b) + 1])), 4294967295)) % 4 AS h
+            FROM ids, table_),
+        heads AS (
+            SELECT h.conv_id, t.pos AS depth, role, text
+            FROM hashed h JOIN turns t ON t.conv_id = h.base AND t.pos <= h.h),
+        begun AS (
+            SELECT conv_id, h, (SELECT count(*) FROM heads x WHERE x.conv_id = hashed.conv_id) AS n FROM hashed),
+        rebuilt AS (
+            SELECT * FROM heads
+            UNION ALL
+            SELECT t.conv_id, b.n + t.pos - b.h, role, text FROM turns t JOIN begun b USING (conv_id) WHERE t.pos > b.h),
+        sequences AS (
+            SELECT i.conv_id,
+                   coalesce(list(r.role || chr(0) || r.text ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS s,
+                   coalesce(list(len(regexp_extract_all(r.text, '[^\x20\x09-\x0D]+')) ORDER BY depth)
+                            FILTER (WHERE depth IS NOT NULL), []) AS w
+            FROM ids i LEFT JOIN rebuilt r USING (conv_id) GROUP BY i.conv_id),
+        prefixes AS (
+            SELECT conv_id, len(s) AS size, d, s[1:d] AS p, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words
+            FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM sequences)),
+        nodes AS (
+            SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends
+            FROM prefixes GROUP BY p, d),
+        counted AS (
+            SELECT n.*, parent.conv_id AS parent_conv_id,
+                   (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.p[1:n.d] = n.p) AS n_children
+            FROM nodes n LEFT JOIN nodes parent ON parent.d = n.d - 1 AND parent.p = n.p[1:n.d - 1]),
+        below AS (
+            SELECT p[1:a] AS top, a, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+                   sum((n_convs - 1) * words) AS saved
+            FROM (SELECT *, unnest(range(d + 1)) AS a FROM counted) GROUP BY ALL)
+        SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+               saved::BIGINT AS saved_tokens, ends AS ends_sha256
+        FROM counted JOIN below ON p = top AND d = a""",
 }
