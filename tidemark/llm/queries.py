@@ -14,6 +14,7 @@ from tidemark.llm import (
     line_dedup,
     mixing,
     packing,
+    phrases,
     pii,
     prefix_trie,
     quality_rules,
@@ -94,6 +95,10 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_importance_resampling": op10_importance_resampling,
     "op11_language_id": op11_language_id,
+    "op12_collocations": op12_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -191,6 +197,39 @@ SQL: dict[str, str] = {
             SELECT *, (floor(start + place * rate) - floor(start + (place - 1) * rate))::BIGINT AS copies
             FROM placed)
         SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM taken""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        runs AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM (SELECT lang, w, unnest([1, 2, 3, 4, 5]) AS k FROM split) WHERE len(w) >= k)),
+        counts AS (SELECT lang, phrase, k, count(*) AS f FROM runs GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+        candidates AS (
+            SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2 AND f >= 100),
+        inner_ AS (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+                  FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates)) GROUP BY ALL),
+        cuts AS (
+            SELECT lang, phrase, f AS a, w, k, unnest(range(1, k)) AS cut
+            FROM candidates c LEFT JOIN inner_ i USING (lang, phrase) WHERE longer IS NULL OR longer < f),
+        scored AS (
+            SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, n,
+                   ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c JOIN totals USING (lang)
+            JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+            JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op13_prefix_trie": r"""
         WITH turns AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
