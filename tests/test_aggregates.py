@@ -3,9 +3,18 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from tests.helpers import REFERENCE, at, message, messages, one
+from tidemark import schemas
 from tidemark.functions import scores
 from tidemark.operators import percentiles
-from tidemark.operators.aggregates import message_aggregates
+from tidemark.operators.aggregates import (
+    RefreshWindow,
+    bucket_rows,
+    fold,
+    message_aggregates,
+    message_aggregates_by_width,
+    outside_context,
+    series_rows,
+)
 
 FIXTURES = {
     "constant": [(-60, 5), (0, 5), (60, 5), (120, 5), (180, 5)],
@@ -126,31 +135,44 @@ def same(a, b, keys):
                 assert x[c] == y[c], (c, x, y)
 
 
-def test_dense_buckets_give_the_same_rows(spark, sf):
-    """Slices and counted percentiles, forced by a low limit."""
-    stored = fx.messages(spark, sf)
-    usual = message_aggregates(stored, "24h", fx.REFERENCE_TIME)
-    dense = message_aggregates(stored, "24h", fx.REFERENCE_TIME, dense_limit=4)
-    same(usual, dense, ["bucket_start", "device_id", "metric_name"])
+@pytest.mark.parametrize("bounds", [(None, None), ("2024-01-10 05:30:00", "2024-01-12 17:45:00")])
+def test_widths_from_one_pass_equal_each_alone(spark, sf, bounds):
+    """Folded from three minutes upwards, counts cut inside the last buckets."""
+    stored, now = fx.messages(spark, sf), "2024-01-20 11:31:00"
+    windows = {w: RefreshWindow.resolve(w, now, *bounds) for w in schemas.WIDTHS}
+    rows = series_rows(stored.where(windows["24h"].inside("received_at")))
+    contexts = {
+        w: outside_context(series_rows(stored.where(x.outside("received_at"))), x) for w, x in windows.items()
+    }
+    found = message_aggregates_by_width(rows, windows, contexts)
+    for width in windows:
+        alone = message_aggregates(stored, width, now, *bounds)
+        same(alone, found[width], ["bucket_start", "device_id", "metric_name"])
 
 
-def test_distributed_percentiles(spark):
+def test_folded_percentiles(spark):
+    """Ranks picked in three-minute buckets and taken over by wider ones."""
     values = spark.range(20_000).selectExpr(
-        "id % 2 AS g",
+        "concat('d', id % 2) AS device_id",
+        "pmod(hash(id), 86400) * 1000000L AS t_us",
         """CASE WHEN id % 3 = 0 THEN 7.25D WHEN id % 3 = 1 THEN pow(id % 977, 5) / 1e6
            ELSE -1e-7 * id END AS v""",
     )
-    odd = spark.createDataFrame(
-        [(2, float(x)) for x in ("inf", "-inf", "nan", "1", "2")] + [(3, 4.0), (4, 1.0), (4, 2.0)], "g long, v double"
-    )
-    rows = values.unionByName(odd)
-    expected = rows.groupBy("g").agg(percentiles.exact_percentiles(F.col("v")).alias("p"))
-    found = percentiles.distributed_percentiles(rows, ["g"], "v", range_limit=5)
-    want = {r.g: r.p for r in expected.collect()}
-    got = {r.g: r.percentiles for r in found.collect()}
-    assert set(got) == set(want)
-    for g, p in want.items():
-        assert got[g] == pytest.approx(p, rel=1e-12, nan_ok=True), g
+    odd = [("n", float(x)) for x in ("inf", "-inf", "nan", "1", "2")] + [("one", 4.0), ("two", 1.0), ("two", 2.0), ("none", None)]
+    odd = spark.createDataFrame([(g, 7_000_000 * i, v) for i, (g, v) in enumerate(odd)], values.schema)
+    rows = values.unionByName(odd).selectExpr("*", "'m' AS metric_name", "'t' AS topic", "t_us AS tie_us")
+    hour, day = 3600 * 10**6, 86400 * 10**6
+    narrow = bucket_rows(rows, [180 * 10**6, hour, day])
+    for width_us, wide in ((hour, fold(narrow, hour, [hour, day])), (day, fold(fold(narrow, hour, [hour, day]), day, [day]))):
+        shown = percentiles.blended(width_us, "numeric_count")
+        got = wide.selectExpr("device_id", "bucket_us", f"array({', '.join(shown.values())}) AS p").collect()
+        at = f"t_us - pmod(t_us, {width_us}L) AS bucket_us"
+        exact = F.percentile("v", F.array(*[F.lit(f) for f in percentiles.FRACTIONS])).alias("p")
+        want = {(r.device_id, r.bucket_us): r.p for r in rows.selectExpr("*", at).groupBy("device_id", "bucket_us").agg(exact).collect()}
+        assert len(got) == len(want) > 4
+        for r in got:
+            p = want[r.device_id, r.bucket_us]
+            assert r.p == (pytest.approx(p, rel=1e-12, nan_ok=True) if p else [None] * 3), r
 
 
 def test_range_equals_full(spark, sf):

@@ -3,7 +3,14 @@ import pytest
 from checks import fixture as fx
 from tests.helpers import REFERENCE, message, messages, one, relay_event, relays
 from tests.test_aggregates import same
-from tidemark.operators.reconcile import power_energy_reconciliation
+from tidemark import schemas
+from tidemark.operators.aggregates import RefreshWindow
+from tidemark.operators.reconcile import (
+    outside_context,
+    power_energy_reconciliation,
+    reconciliation_by_width,
+    signal_rows,
+)
 
 POWER = [(s, 10) for s in (-60, 0, 60, 120, 180)]
 ENERGY = [(0, 0), (60, 600), (180, 1800)]
@@ -64,11 +71,19 @@ def test_other_topics_open_no_bucket(spark):
     assert run(spark, energy=[], topic="other/d/power").count() == 0
 
 
-def test_dense_buckets_give_the_same_rows(spark, sf):
-    stored, relay = fx.messages(spark, sf), fx.relay(spark, sf)
-    usual = power_energy_reconciliation(stored, relay, "24h", fx.REFERENCE_TIME)
-    dense = power_energy_reconciliation(stored, relay, "24h", fx.REFERENCE_TIME, dense_limit=4)
-    same(usual, dense, ["bucket_start", "device_id"])
+def test_widths_from_one_pass_equal_each_alone(spark, sf):
+    stored, relay, now = fx.messages(spark, sf), fx.relay(spark, sf), "2024-01-20 11:31:00"
+    windows = {w: RefreshWindow.resolve(w, now) for w in schemas.WIDTHS}
+    day = windows["24h"]
+    rows = signal_rows(stored.where(day.inside("received_at")), relay.where(day.inside("event_at")))
+    contexts = {
+        w: outside_context(signal_rows(stored.where(x.outside("received_at")), relay.where(x.outside("event_at"))), x)
+        for w, x in windows.items()
+    }
+    found = reconciliation_by_width(rows, windows, contexts)
+    for width in windows:
+        alone = power_energy_reconciliation(stored, relay, width, now)
+        same(alone, found[width], ["bucket_start", "device_id"])
 
 
 def test_daily_integral_is_the_sum_of_its_parts(spark):

@@ -23,7 +23,7 @@ def contents(df):
     return rows_of(df.columns, [tuple(r) for r in fx.for_compare(df).collect()])[0]
 
 
-def assert_fixed_point(store, relay_series=False):
+def assert_fixed_point(store):
     """Stored rows equal the batch functions over the raw tables."""
     raw, relay = store.read("messages"), store.read("relay_state_events")
     for width in schemas.WIDTHS:
@@ -31,9 +31,6 @@ def assert_fixed_point(store, relay_series=False):
         extra = ("width", "bucket_date", "refreshed_at")
         stored = store.read("message_aggregates").where(this).drop(*extra)
         batch = message_aggregates(raw, width, END).drop("refreshed_at")
-        if not relay_series:
-            # Status messages do not refresh sensor aggregates at ingest.
-            batch = batch.where("metric_name <> 'relay_state'")
         assert contents(stored) == contents(batch), width
         stored = store.read("power_energy_reconciliation").where(this).drop(*extra)
         batch = power_energy_reconciliation(raw, relay, width, END).drop("refreshed_at")
@@ -83,7 +80,7 @@ def test_stream_with_late_data_equals_batch(spark, raw, tmp_path):
     assert overview.agg(F.sum("message_count")).first()[0] == everything.count() - quarantined
 
     refresh_range(store, END)
-    assert_fixed_point(store, relay_series=True)
+    assert_fixed_point(store)
     rows = store.read("message_aggregates").count()
     refresh_range(store, END, "2024-01-10", "2024-01-12", ["60m"])
     assert store.read("message_aggregates").count() == rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -58,6 +59,11 @@ class RefreshWindow:
         """First bucket start not touched by the refresh."""
         return self.cut + (-self.cut) % self.width_us
 
+    @property
+    def counted_until(self) -> int | None:
+        """Where counts end inside the last bucket; None if they end with it."""
+        return None if self.cut == self.end else self.cut
+
     @property
     def closed_until(self) -> int:
         return clock.minute_floor_us(self.reference)
@@ -82,79 +88,89 @@ class RefreshWindow:
         return f"IF({bucket_end_us} <= {self.closed_until}L, 'aggregated', 'tba')"
 
 
-def series_rows(messages: DataFrame, width_us: int) -> DataFrame:
+def series_rows(messages: DataFrame) -> DataFrame:
     """The narrow row the aggregates need, for messages that name a series."""
-    at = "unix_micros(received_at)"
     return messages.where("device_id IS NOT NULL AND metric_name IS NOT NULL").selectExpr(
         *SERIES,
         "topic",
         "numeric_value AS v",
-        f"{at} AS t_us",
+        "unix_micros(received_at) AS t_us",
         "unix_micros(committed_at) AS tie_us",
-        f"{at} - pmod({at}, {width_us}L) AS bucket_us",
     )
 
 
-def _statistics(window: RefreshWindow) -> list[Column]:
-    def counted(column: str) -> str:
-        # Only a range that ends inside a bucket has rows it must not count.
-        aligned = window.cut == window.end
-        return column if aligned else f"IF(t_us < {window.cut}L, {column}, NULL)"
-
-    columns = {
-        "sample_count": f"count({counted('t_us')})",
-        "numeric_count": f"count({counted('v')})",
-        "topic": f"min({counted('topic')})",
-        "numeric_avg": f"avg({counted('v')})",
-        "numeric_min": f"min({counted('v')})",
-        "numeric_max": f"max({counted('v')})",
-        "numeric_variance_samp": f"var_samp({counted('v')})",
-        "numeric_stddev_samp": f"stddev_samp({counted('v')})",
-        "first_received_us": f"min({counted('t_us')})",
-        "last_received_us": f"max({counted('t_us')})",
-    }
-    return [F.expr(sql).alias(name) for name, sql in columns.items()]
-
+def in_buckets(rows: DataFrame, width_us: int, name: str = "bucket_us") -> DataFrame:
+    return tw.add_columns(rows, {name: f"t_us - pmod(t_us, {width_us}L)"})
 
-def _counted_value(window: RefreshWindow) -> Column:
-    return F.expr(f"IF(t_us < {window.cut}L, v, NULL)")
 
+def bucket_rows(rows: DataFrame, widths_us: Sequence[int], cut: int | None = None) -> DataFrame:
+    """Mergeable summaries of each (series, bucket of the narrowest width).
 
-def bucket_rows(rows: DataFrame, window: RefreshWindow) -> DataFrame:
-    """Statistics and time-weight summary per (series, bucket): one exchange."""
+    Rows are exchanged once, by series and bucket of the widest width, in which the
+    others nest. ``cut`` leaves later rows out of the statistics, not of the time weighting.
+    """
+    narrow, wide = min(widths_us), max(widths_us)
+    counted = "" if cut is None else f"t_us < {cut}L AND "
+    placed = in_buckets(in_buckets(rows, wide, "unit_us"), narrow).repartition(*SERIES, "unit_us")
+    ranked = tw.add_columns(placed, {"cv": f"IF({counted}true, v, NULL)"})
+    for width_us in widths_us:
+        ranked = pct.with_ranks(ranked, (*SERIES, "unit_us"), "cv", width_us)
+    counts = {
+        "sample_count": f"count_if({counted}true)",
+        "numeric_count": "count(cv)",
+        "topic": f"min(IF({counted}true, topic, NULL))",
+        "numeric_sum": "sum(cv)",
+        "numeric_m2": "var_pop(cv) * count(cv)",
+        "numeric_min": "min(cv)",
+        "numeric_max": "max(cv)",
+        "first_received_us": f"min(IF({counted}true, t_us, NULL))",
+        "last_received_us": f"max(IF({counted}true, t_us, NULL))",
+    }
+    stepped = tw.with_steps(ranked, (*SERIES, "unit_us", "bucket_us"), ["tie_us", "v"])
     return (
-        tw.with_steps(rows, CELL, ["tie_us", "v"])
-        .groupBy(*CELL)
+        stepped.groupBy(*SERIES, "unit_us", "bucket_us")
         .agg(
-            *_statistics(window),
-            pct.exact_percentiles(_counted_value(window)).alias("percentiles"),
+            *[F.expr(sql).alias(name) for name, sql in counts.items()],
+            *[c for width_us in widths_us for c in pct.picked("cv", width_us)],
             *tw.summary_aggregates(),
         )
+        .drop("unit_us")
     )
 
 
-def bucket_rows_dense(
-    rows: DataFrame, window: RefreshWindow, limit: int = tw.DENSE_LIMIT
-) -> DataFrame:
-    """The same rows when single buckets are too large for one task.
+def fold(buckets: DataFrame, width_us: int, widths_us: Sequence[int]) -> DataFrame:
+    """The summaries of wider buckets from those of narrower ones that nest in them.
 
-    Everything that merges is combined before the shuffle; percentiles of the
-    large buckets are found by counting, those of the others stay built-in.
+    ``widths_us`` are the widths whose percentiles are still to be taken over.
+    Moments meet around the mean of the wide bucket.
     """
-    stats = cut_lineage(rows.groupBy(*CELL).agg(*_statistics(window)))
-    large = stats.where(F.col("numeric_count") > limit).select(*CELL)
-    values = rows.select(*CELL, _counted_value(window).alias("value"))
-    small_groups = (
-        values.join(large, list(CELL), "left_anti")
-        .groupBy(*CELL)
-        .agg(pct.exact_percentiles(F.col("value")).alias("percentiles"))
-    )
-    large_groups = pct.distributed_percentiles(
-        values.join(large, list(CELL), "left_semi"), CELL, "value", range_limit=limit
+    wide = tw.add_columns(buckets, {"wide_us": f"bucket_us - pmod(bucket_us, {width_us}L)"})
+    group = [*SERIES, "wide_us"]
+    over = f"(PARTITION BY {', '.join(group)})"
+    linked = tw.add_columns(
+        tw.linked_summaries(wide, group),
+        {"_mean": f"sum(numeric_sum) OVER {over} / nullif(sum(numeric_count) OVER {over}, 0L)"},
     )
-    summaries = tw.summarise_sliced(rows, SERIES, ["tie_us"])
-    return stats.join(small_groups.unionByName(large_groups), list(CELL), "left").join(
-        summaries, list(CELL), "left"
+    off = "(numeric_sum / nullif(numeric_count, 0L) - _mean)"
+    merged = {
+        "sample_count": "sum(sample_count)",
+        "numeric_count": "sum(numeric_count)",
+        "topic": "min(topic)",
+        "numeric_sum": "sum(numeric_sum)",
+        "numeric_m2": f"sum(IF(numeric_count > 0, numeric_m2 + numeric_count * {off} * {off}, NULL))",
+        "numeric_min": "min(numeric_min)",
+        "numeric_max": "max(numeric_max)",
+        "first_received_us": "min(first_received_us)",
+        "last_received_us": "max(last_received_us)",
+    }
+    return (
+        linked.groupBy(*group)
+        .agg(
+            *[F.expr(sql).alias(name) for name, sql in merged.items()],
+            *[c for w in widths_us for c in pct.folded(w)],
+            *tw.folded_aggregates(),
+        )
+        .withColumnRenamed("wide_us", "bucket_us")
     )
 
 
@@ -170,8 +186,15 @@ def outside_context(rows: DataFrame, window: RefreshWindow) -> DataFrame:
 def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None = None) -> DataFrame:
     """All output columns from neighboured bucket rows."""
     end_us = f"(bucket_us + {window.width_us}L)"
+    moments = {
+        "numeric_avg": "numeric_sum / nullif(numeric_count, 0L)",
+        "numeric_variance_samp": "IF(numeric_count > 1, numeric_m2 / (numeric_count - 1), NULL)",
+        **pct.blended(window.width_us, "numeric_count"),
+    }
+    spread = {"numeric_stddev_samp": "sqrt(numeric_variance_samp)"}
+    measured = tw.add_columns(tw.add_columns(buckets, moments), spread)
     edged = tw.with_gap_statistics(
-        tw.with_boundaries(buckets, window.width_us), window.width_us
+        tw.with_boundaries(measured, window.width_us), window.width_us
     )
     named = edged.selectExpr(
         "timestamp_micros(bucket_us) AS bucket_start",
@@ -183,9 +206,9 @@ def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None =
         "numeric_avg",
         "numeric_min",
         "numeric_max",
-        "percentiles[1] AS numeric_median",
-        "percentiles[0] AS numeric_p25",
-        "percentiles[2] AS numeric_p75",
+        "_percentile1 AS numeric_median",
+        "_percentile0 AS numeric_p25",
+        "_percentile2 AS numeric_p75",
         "numeric_variance_samp",
         "numeric_stddev_samp",
         "numeric_stddev_samp / sqrt(numeric_count) AS numeric_stderr",
@@ -248,7 +271,6 @@ def message_aggregates(
     hi: datetime | str | None = None,
     *,
     context: DataFrame | None = None,
-    dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
 ) -> DataFrame:
     """Aggregates of every (bucket, series) with a message in the range.
@@ -257,32 +279,52 @@ def message_aggregates(
     ``schemas.EDGES``); without it they are looked up in ``messages``.
     """
     window = RefreshWindow.resolve(width, reference_time, lo, hi)
-    rows = series_rows(messages.where(window.inside("received_at")), window.width_us)
+    rows = series_rows(messages.where(window.inside("received_at")))
     if context is None:
         beyond = messages.where(window.outside("received_at"))
-        context = outside_context(series_rows(beyond, window.width_us), window)
-    return aggregate_buckets(rows, context, window, dense_limit, refreshed_at)
+        context = outside_context(series_rows(beyond), window)
+    buckets = bucket_rows(rows, [window.width_us], window.counted_until)
+    return aggregate_buckets(buckets, context, window, refreshed_at)
 
 
-def aggregate_buckets(
+def message_aggregates_by_width(
     rows: DataFrame,
+    windows: Mapping[str, RefreshWindow],
+    contexts: Mapping[str, DataFrame],
+    refreshed_at: datetime | str | None = None,
+) -> dict[str, DataFrame]:
+    """Aggregates at several widths from one pass over ``rows`` (of :func:`series_rows`),
+    which cover the buckets of all ``windows`` whole.
+
+    The narrowest buckets are computed from the rows and kept; each wider width is
+    folded from the one before it.
+    """
+    order = sorted(windows, key=lambda w: windows[w].width_us)
+    widths_us = [windows[w].width_us for w in order]
+    # Of windows up to the reference time, those that end with a bucket need no cut of their own.
+    cuts = {windows[w].counted_until for w in order} - {None}
+    if len(cuts) > 1:
+        raise ValueError("the windows of one pass end their counts at one instant")
+    buckets = cut_lineage(bucket_rows(rows, widths_us, max(cuts, default=None)))
+    out = {}
+    for i, width in enumerate(order):
+        if i:
+            buckets = fold(buckets, widths_us[i], widths_us[i:])
+        window = windows[width]
+        ours = buckets.where(F.col("bucket_us") < window.end)
+        if window.lo is not None:
+            ours = ours.where(F.col("bucket_us") >= window.lo)
+        out[width] = aggregate_buckets(ours, contexts[width], window, refreshed_at)
+    return out
+
+
+def aggregate_buckets(
+    buckets: DataFrame,
     context: DataFrame,
     window: RefreshWindow,
-    dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
-    dense: bool | None = None,
 ) -> DataFrame:
-    """Aggregates of the buckets ``rows`` fall in, with neighbours from both.
-
-    ``dense`` says whether a bucket exceeds ``dense_limit``; unless known it is
-    counted first.
-    """
-    if dense is None:
-        dense = tw.largest_bucket(rows, SERIES) > dense_limit
-    if dense:
-        buckets = bucket_rows_dense(rows, window, dense_limit)
-    else:
-        buckets = bucket_rows(rows, window)
+    """Aggregates of summarised buckets, with neighbours from them and from ``context``."""
     lent = context.select(*CELL, *tw.EDGE_COLUMNS)
     both = buckets.unionByName(lent, allowMissingColumns=True)
     linked = tw.with_neighbours(both, SERIES).where(F.col("sample_count") > 0)

@@ -1,147 +1,57 @@
-"""Exact percentiles of groups too large for one task.
+"""Exact percentiles by rank, foldable from narrow buckets to wide ones.
 
-The built-in ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. For larger groups the wanted order statistics are found by
-counting: values fall into bins by a monotone function, the bin that contains
-the rank is kept, and its own value range is binned again. Every pass is a
-map-side combined count with a bounded number of bins per group.
+The values of a bucket are ranked by one sort, which spills, and the two order
+statistics around each fraction are picked out by their rank. Each of them lies in
+exactly one narrow bucket, so a wide bucket takes over whatever of them its narrow
+ones hold. No buffer grows with a bucket, and no plan depends on its size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.checkpoints import cut_lineage
-
 FRACTIONS = (0.25, 0.5, 0.75)
-BINS = 4096
-# Below this many distinct values a range is finished by one sorted window.
-RANGE_LIMIT = 500_000
-
 
-def exact_percentiles(values: Column, fractions: Sequence[float] = FRACTIONS) -> Column:
-    """Built-in exact percentiles with linear interpolation, as an array."""
-    return F.percentile(values, F.array(*[F.lit(f) for f in fractions]))
 
+def _names(width_us: int) -> list[str]:
+    return [f"_q{width_us}_{side}{i}" for i in range(len(FRACTIONS)) for side in ("low", "high")]
 
-def _log_bin(v: Column) -> Column:
-    """Monotone bins of about 6 % relative width; NaN sorts above infinity."""
-    size = F.least(F.ln(F.lit(1.0) + F.abs(v)), F.lit(1000.0))
-    signed = F.when(v < 0, -size).otherwise(size)
-    return F.when(F.isnan(v), F.lit(20_000)).otherwise(F.floor(signed * 16)).cast("int")
 
+def with_ranks(rows: DataFrame, group: Sequence[str], value: str, width_us: int) -> DataFrame:
+    """Add the rank from 0 of each row's ``value`` among those of its bucket of the width, and their number."""
+    cell = f"PARTITION BY {', '.join(group)}, t_us - pmod(t_us, {width_us}L) ORDER BY {value} NULLS LAST"
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    return rows.selectExpr(
+        "*",
+        f"IF({value} IS NULL, NULL, row_number() OVER ({cell}) - 1) AS _rank{width_us}",
+        f"count({value}) OVER ({cell} {whole}) AS _of{width_us}",
+    )
 
-def _even_bin(v: Column, low: Column, high: Column) -> Column:
-    share = (v - low) / (high - low)
-    return F.when(
-        high > low, F.least(F.floor(share * BINS), F.lit(BINS - 1))
-    ).otherwise(0).cast("int")
 
+def picked(value: str, width_us: int) -> list[Column]:
+    """Aggregates that pick the order statistics of the width around each fraction."""
+    wanted = [
+        f"max(IF(_rank{width_us} = {side}({f}D * (_of{width_us} - 1)), {value}, NULL))"
+        for f in FRACTIONS
+        for side in ("floor", "ceil")
+    ]
+    return [F.expr(sql).alias(name) for sql, name in zip(wanted, _names(width_us), strict=True)]
 
-def _narrow(counts: DataFrame, ranks: DataFrame, keys: Sequence[str], bin_of: Column) -> DataFrame:
-    """Move each rank into the bin of its value range that contains it.
 
-    Ranges of one group are disjoint and named by ``below``, the number of values
-    under them, so a value is counted in at most one bin.
-    """
-    cell = [*keys, "below"]
-    spans = ranks.select(*cell, "low", "high").distinct()
-    binned = (
-        counts.join(spans, list(keys))
-        .where(F.col("v").between(F.col("low"), F.col("high")))
-        .withColumn("bin", bin_of)
-        .groupBy(*cell, "bin")
-        .agg(
-            F.sum("n").alias("held"),
-            F.count(F.lit(1)).alias("distinct_values"),
-            F.min("v").alias("low"),
-            F.max("v").alias("high"),
-        )
-    )
-    upto = F.col("below") + F.sum("held").over(Window.partitionBy(*cell).orderBy("bin"))
-    return (
-        binned.withColumn("upto", upto)
-        .join(ranks.select(*cell, "rank"), cell)
-        .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("held") <= F.col("rank")))
-        .select(
-            *keys,
-            "rank",
-            (F.col("upto") - F.col("held")).alias("below"),
-            "distinct_values",
-            "low",
-            "high",
-        )
-    )
+def folded(width_us: int) -> list[Column]:
+    """Aggregates that take the picks of the width over from narrower buckets."""
+    return [F.max(name).alias(name) for name in _names(width_us)]
 
 
-def distributed_percentiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    fractions: Sequence[float] = FRACTIONS,
-    range_limit: int = RANGE_LIMIT,
-) -> DataFrame:
-    """``keys`` + ``percentiles`` (array), exact for groups of any size."""
-    keys = list(keys)
-    counts = cut_lineage(
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    totals = counts.groupBy(*keys).agg(
-        F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    position = F.col("position")
-    spots = totals.select(
-        *keys,
-        "low",
-        "high",
-        F.posexplode(F.array(*[F.lit(f) * (F.col("total") - 1) for f in fractions])).alias(
-            "i", "position"
-        ),
-    ).select(
-        "*",
-        F.floor(position).cast("bigint").alias("lower"),
-        F.ceil(position).cast("bigint").alias("upper"),
-    )
-    ranks = (
-        spots.select(*keys, "low", "high", F.explode(F.array("lower", "upper")).alias("rank"))
-        .distinct()
-        .withColumn("below", F.lit(0).cast("bigint"))
-    )
-    ranks = cut_lineage(_narrow(counts, ranks, keys, _log_bin(F.col("v"))))
-    wide = (F.col("distinct_values") > range_limit) & (F.col("low") < F.col("high"))
-    while not ranks.where(wide).isEmpty():
-        finer = _narrow(
-            counts,
-            ranks.where(wide),
-            keys,
-            _even_bin(F.col("v"), F.col("low"), F.col("high")),
-        )
-        ranks = cut_lineage(ranks.where(~wide).unionByName(finer))
-
-    cell = [*keys, "below"]
-    upto = F.col("below") + F.sum("n").over(Window.partitionBy(*cell).orderBy("v"))
-    found = (
-        counts.join(ranks.select(*cell, "low", "high").distinct(), keys)
-        .where(F.col("v").between(F.col("low"), F.col("high")))
-        .select(*cell, "v", "n", upto.alias("upto"))
-        .join(ranks.select(*cell, "rank"), cell)
-        .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-    )
-    low_end = found.select(*keys, F.col("rank").alias("lower"), F.col("v").alias("low_v"))
-    high_end = found.select(*keys, F.col("rank").alias("upper"), F.col("v").alias("high_v"))
-    blended = F.when(F.col("low_v") == F.col("high_v"), F.col("low_v")).otherwise(
-        F.col("low_v") * (F.col("upper") - position) + F.col("high_v") * (position - F.col("lower"))
-    )
-    return (
-        spots.drop("low", "high")
-        .join(low_end, [*keys, "lower"])
-        .join(high_end, [*keys, "upper"])
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("i", blended.alias("v")))).alias("found"))
-        .select(*keys, F.col("found.v").alias("percentiles"))
-    )
+def blended(width_us: int, count: str) -> dict[str, str]:
+    """``_percentile<i>``: linear interpolation between the picks, for ``count`` values."""
+    out = {}
+    for i, f in enumerate(FRACTIONS):
+        low, high = f"_q{width_us}_low{i}", f"_q{width_us}_high{i}"
+        at = f"({f}D * ({count} - 1))"
+        out[f"_percentile{i}"] = f"""IF({low} = {high}, {low},
+            {low} * (ceil{at} - {at}) + {high} * ({at} - floor{at}))"""
+    return out

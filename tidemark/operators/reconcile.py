@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators import timeweight as tw
-from tidemark.operators.aggregates import RefreshWindow
+from tidemark.operators.aggregates import RefreshWindow, in_buckets
+from tidemark.sources.checkpoints import cut_lineage
 
 SIGNALS = ("power", "energy", "relay")
 CELL = ("device_id", "bucket_us")
@@ -53,52 +55,50 @@ def relay_rows(relay: DataFrame) -> DataFrame:
     )
 
 
-def in_buckets(rows: DataFrame, width_us: int) -> DataFrame:
-    return tw.add_columns(rows, {"bucket_us": f"t_us - pmod(t_us, {width_us}L)"})
-
-
-def signal_rows(messages: DataFrame, relay: DataFrame, width_us: int) -> DataFrame:
+def signal_rows(messages: DataFrame, relay: DataFrame) -> DataFrame:
     """The samples of all three signals in one narrow shape."""
-    return in_buckets(meter_rows(messages).unionByName(relay_rows(relay)), width_us)
+    return meter_rows(messages).unionByName(relay_rows(relay))
+
 
+def bucket_rows(rows: DataFrame, width_us: int, cut: int | None = None) -> DataFrame:
+    """One mergeable row per (device, bucket) with the three signals' summaries.
 
-def _counts(window: RefreshWindow) -> list[Column]:
-    columns = {
-        "meter_rows": f"count_if(signal <> 'relay' AND t_us < {window.cut}L)",
+    Partitioning by (device, bucket) once serves the sample windows and the
+    aggregation alike. Rows from ``cut`` on do not count towards the spine.
+    """
+    before = "" if cut is None else f" AND t_us < {cut}L"
+    counts = {
+        "meter_rows": f"count_if(signal <> 'relay'{before})",
         "power_topic": "min(IF(signal = 'power' AND v IS NOT NULL, topic, NULL))",
         "energy_topic": "min(IF(signal = 'energy' AND v IS NOT NULL, topic, NULL))",
         "power_numeric_count": "count_if(signal = 'power' AND v IS NOT NULL)",
         "energy_numeric_count": "count_if(signal = 'energy' AND v IS NOT NULL)",
         "relay_event_count": "count_if(signal = 'relay')",
     }
-    return [F.expr(sql).alias(name) for name, sql in columns.items()]
-
-
-def bucket_rows(rows: DataFrame, window: RefreshWindow) -> DataFrame:
-    """One row per (device, bucket) with the three signals' summaries.
-
-    Partitioning by (device, bucket) once serves the sample windows and the
-    aggregation alike.
-    """
-    placed = rows.repartition(*CELL)
+    placed = in_buckets(rows, width_us).repartition(*CELL)
     stepped = tw.with_steps(placed, (*CELL, "signal"), ["tie_us", "v"])
     return stepped.groupBy(*CELL).agg(
-        *_counts(window),
+        *[F.expr(sql).alias(name) for name, sql in counts.items()],
         *[c for s in SIGNALS for c in tw.summary_aggregates(f"{s}_", f"signal = '{s}'")],
     )
 
 
-def bucket_rows_dense(rows: DataFrame, window: RefreshWindow) -> DataFrame:
-    """The same rows when a bucket is too large for one task."""
-    summaries = tw.summarise_sliced(rows, GROUP, ["tie_us"])
-    wide = summaries.groupBy(*CELL).agg(
-        *[
-            F.expr(f"max(IF(signal = '{s}', {c}, NULL))").alias(f"{s}_{c}")
-            for s in SIGNALS
-            for c in tw.SUMMARY_COLUMNS
-        ]
+def fold(buckets: DataFrame, width_us: int) -> DataFrame:
+    """The rows of wider buckets from those of narrower ones that nest in them."""
+    wide = tw.add_columns(buckets, {"wide_us": f"bucket_us - pmod(bucket_us, {width_us}L)"})
+    group = ["device_id", "wide_us"]
+    prefixes = [f"{s}_" for s in SIGNALS]
+    summed = ("meter_rows", "power_numeric_count", "energy_numeric_count", "relay_event_count")
+    return (
+        tw.linked_summaries(wide, group, prefixes)
+        .groupBy(*group)
+        .agg(
+            *[F.sum(c).alias(c) for c in summed],
+            *[F.min(c).alias(c) for c in ("power_topic", "energy_topic")],
+            *[c for p in prefixes for c in tw.folded_aggregates(p)],
+        )
+        .withColumnRenamed("wide_us", "bucket_us")
     )
-    return rows.groupBy(*CELL).agg(*_counts(window)).join(wide, list(CELL), "left")
 
 
 def outside_context(rows: DataFrame, window: RefreshWindow) -> DataFrame:
@@ -191,41 +191,54 @@ def power_energy_reconciliation(
     hi: datetime | str | None = None,
     *,
     context: DataFrame | None = None,
-    dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
 ) -> DataFrame:
     """One row per (bucket, device) with a power or energy message in the range."""
     window = RefreshWindow.resolve(width, reference_time, lo, hi)
     rows = signal_rows(
-        messages.where(window.inside("received_at")),
-        relay.where(window.inside("event_at")),
-        window.width_us,
+        messages.where(window.inside("received_at")), relay.where(window.inside("event_at"))
     )
     if context is None:
         beyond = signal_rows(
-            messages.where(window.outside("received_at")),
-            relay.where(window.outside("event_at")),
-            window.width_us,
+            messages.where(window.outside("received_at")), relay.where(window.outside("event_at"))
         )
         context = outside_context(beyond, window)
-    return reconcile_buckets(rows, context, window, dense_limit, refreshed_at)
+    buckets = bucket_rows(rows, window.width_us, window.counted_until)
+    return reconcile_buckets(buckets, context, window, refreshed_at)
 
 
-def reconcile_buckets(
+def reconciliation_by_width(
     rows: DataFrame,
+    windows: Mapping[str, RefreshWindow],
+    contexts: Mapping[str, DataFrame],
+    refreshed_at: datetime | str | None = None,
+) -> dict[str, DataFrame]:
+    """Reconciliation at several widths from one pass over ``rows`` (of
+    :func:`signal_rows`), which cover the buckets of all ``windows`` whole."""
+    order = sorted(windows, key=lambda w: windows[w].width_us)
+    cuts = {windows[w].counted_until for w in order} - {None}
+    if len(cuts) > 1:
+        raise ValueError("the windows of one pass end their counts at one instant")
+    buckets = cut_lineage(bucket_rows(rows, windows[order[0]].width_us, max(cuts, default=None)))
+    out = {}
+    for i, width in enumerate(order):
+        window = windows[width]
+        if i:
+            buckets = fold(buckets, window.width_us)
+        ours = buckets.where(F.col("bucket_us") < window.end)
+        if window.lo is not None:
+            ours = ours.where(F.col("bucket_us") >= window.lo)
+        out[width] = reconcile_buckets(ours, contexts[width], window, refreshed_at)
+    return out
+
+
+def reconcile_buckets(
+    buckets: DataFrame,
     context: DataFrame,
     window: RefreshWindow,
-    dense_limit: int = tw.DENSE_LIMIT,
     refreshed_at: datetime | str | None = None,
-    dense: bool | None = None,
 ) -> DataFrame:
-    """Reconciliation of the buckets ``rows`` fall in, with neighbours from both."""
-    if dense is None:
-        dense = tw.largest_bucket(rows, ["device_id"]) > dense_limit
-    if dense:
-        buckets = bucket_rows_dense(rows, window)
-    else:
-        buckets = bucket_rows(rows, window)
+    """Reconciliation of summarised buckets, with neighbours from them and from ``context``."""
     both = buckets.unionByName(_lent(context), allowMissingColumns=True)
     linked = tw.with_neighbours(both, ["device_id"], [f"{s}_" for s in SIGNALS])
     refreshed = None if refreshed_at is None else clock.to_us(refreshed_at)

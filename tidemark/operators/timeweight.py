@@ -12,8 +12,8 @@ device and a signal) inside one bucket:
 ``gap_sq``            sum of squared gaps, exact (square microseconds)
 ====================  =======================================================
 
-Summaries of adjacent slices merge by adding the areas, the gap moments and one
-crossing gap, so a bucket of any size can be computed from bounded slices.
+Summaries of adjacent buckets merge by adding the areas, the gap moments and one
+crossing gap, so wider buckets are folded from narrower ones without raw rows.
 """
 
 from __future__ import annotations
@@ -38,11 +38,6 @@ SUMMARY_COLUMNS = (
 
 EDGE_COLUMNS = SUMMARY_COLUMNS[:4]
 
-# With more samples than this in one (group, bucket), buckets are summarised
-# slice by slice. A one-second slice holds at most a million distinct instants.
-DENSE_LIMIT = 2_000_000
-SLICE_US = SECOND_US
-
 _SQUARES = "DECIMAL(38,0)"
 
 
@@ -51,12 +46,6 @@ def _square(gap: str) -> str:
     return f"CAST({wide} * {wide} AS DECIMAL(22,0))"
 
 
-def largest_bucket(rows: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the fullest (group, bucket): one narrow, map-side combined pass."""
-    counted = rows.groupBy(*keys, "bucket_us").count()
-    return counted.agg(F.max("count")).first()[0] or 0
-
-
 def with_steps(rows: DataFrame, cell: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """Mark the kept sample of each instant and link it to the one before.
 
@@ -95,45 +84,37 @@ def summary_aggregates(prefix: str = "", only: str = "true") -> list[Column]:
     return [F.expr(sql).alias(prefix + name) for name, sql in columns.items()]
 
 
-def summarise_sliced(rows: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """One summary per (keys, bucket_us) for buckets of any size.
+def linked_summaries(cells: DataFrame, keys: Sequence[str], prefixes: Sequence[str] = ("",)) -> DataFrame:
+    """Add to each summary, per prefix, the gap since the nearest earlier one of the
+    same ``keys`` (``_crossing``, microseconds) and the value held through it (``_before_v``)."""
+    over = f"(PARTITION BY {', '.join(keys)} ORDER BY bucket_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    ends = {}
+    for p in prefixes:
+        sample = f"IF({p}last_us IS NOT NULL, named_struct('us', {p}last_us, 'v', {p}last_v), NULL)"
+        ends[f"_{p}end"] = f"last({sample}) IGNORE NULLS OVER {over}"
+    out = add_columns(cells, ends)
+    links = {}
+    for p in prefixes:
+        links |= {f"{p}_crossing": f"{p}first_us - _{p}end.us", f"{p}_before_v": f"_{p}end.v"}
+    return add_columns(out, links).drop(*ends)
 
-    Copies of an instant are combined before the shuffle, one-second slices are
-    summarised on their own, and only slice summaries meet per bucket.
-    """
-    cells = [*keys, "bucket_us"]
-    kept = (
-        rows.where("v IS NOT NULL")
-        .groupBy(*cells, "t_us")
-        .agg(F.expr(f"min(struct({', '.join(tie)}, v))").alias("_kept"))
-        .selectExpr(*cells, "t_us", "_kept.v AS v", f"t_us - pmod(t_us, {SLICE_US}L) AS slice_us")
-    )
-    slices = (
-        with_steps(kept, [*cells, "slice_us"], [])
-        .groupBy(*cells, "slice_us")
-        .agg(*summary_aggregates())
-    )
-    over = f"(PARTITION BY {', '.join(cells)} ORDER BY slice_us)"
-    linked = add_columns(
-        slices,
-        {
-            "_crossing": f"first_us - lag(last_us) OVER {over}",
-            "_before_v": f"lag(last_v) OVER {over}",
-        },
-    )
-    seconds = f"(_crossing / {SECOND_US}D)"
-    totals = {
-        "first_us": "min(first_us)",
-        "first_v": "min_by(first_v, first_us)",
-        "last_us": "max(last_us)",
-        "last_v": "max_by(last_v, last_us)",
-        "held_area": f"sum(held_area + coalesce(_before_v * {seconds}, 0.0D))",
-        "ramp_area": f"sum(ramp_area + coalesce((_before_v + first_v) / 2.0D * {seconds}, 0.0D))",
-        "gap_n": "sum(gap_n + CAST(_crossing IS NOT NULL AS BIGINT))",
-        "gap_sq": f"""CAST(sum(CAST(gap_sq + coalesce({_square("_crossing")}, 0)
+
+def folded_aggregates(prefix: str = "") -> list[Column]:
+    """Aggregates over the rows of :func:`linked_summaries` giving the merged summary."""
+    p = prefix
+    seconds = f"({p}_crossing / {SECOND_US}D)"
+    columns = {
+        "first_us": f"min({p}first_us)",
+        "first_v": f"min_by({p}first_v, {p}first_us)",
+        "last_us": f"max({p}last_us)",
+        "last_v": f"max_by({p}last_v, {p}last_us)",
+        "held_area": f"sum({p}held_area + coalesce({p}_before_v * {seconds}, 0.0D))",
+        "ramp_area": f"sum({p}ramp_area + coalesce(({p}_before_v + {p}first_v) / 2.0D * {seconds}, 0.0D))",
+        "gap_n": f"sum({p}gap_n + CAST({p}_crossing IS NOT NULL AS BIGINT))",
+        "gap_sq": f"""CAST(sum(CAST({p}gap_sq + coalesce({_square(f"{p}_crossing")}, 0)
             AS DECIMAL(28,0))) AS {_SQUARES})""",
     }
-    return linked.groupBy(*cells).agg(*[F.expr(sql).alias(name) for name, sql in totals.items()])
+    return [F.expr(sql).alias(p + name) for name, sql in columns.items()]
 
 
 def nearest_samples(rows: DataFrame, group: Sequence[str]) -> DataFrame:

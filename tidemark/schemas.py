@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -40,6 +41,7 @@ LEGACY_TABLES = (
 LEGACY_TOPICS = "public.mqtt_topics"
 
 _TS, _STR, _DBL, _LONG = TimestampType(), StringType(), DoubleType(), LongType()
+_DATE, _BOOL, _INT = DateType(), BooleanType(), IntegerType()
 
 
 def _struct(*fields: tuple) -> StructType:
@@ -186,6 +188,22 @@ EDGES = _struct(
     ("last_v", _DBL, False),
 )
 
+# The ledger of buckets that fall due with time, and the index of a series' days.
+DUE_BUCKET = _struct(
+    ("width", _STR, False),
+    ("device_id", _STR, False),
+    ("metric_name", _STR),
+    ("bucket_us", _LONG, False),
+    ("touched", _BOOL, False),
+)
+SERIES_DAYS = _struct(
+    ("device_id", _STR, False),
+    ("metric_name", _STR, False),
+    ("month", _DATE, False),
+    ("present", _INT, False),
+    ("sampled", _INT, False),
+)
+
 IMPORT_BATCH = _struct(
     ("batch_id", _LONG, False),
     ("dump_name", _STR, False),

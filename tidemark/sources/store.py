@@ -34,7 +34,7 @@ class Table:
 
     def full_schema(self) -> StructType:
         have = set(self.schema.fieldNames())
-        kinds = {"width": StringType(), "ingest_batch": StringType()}
+        kinds = {"width": StringType(), "ingest_batch": StringType(), "due": StringType()}
         added = [
             StructField(p, kinds.get(p, DateType())) for p in self.partitions if p not in have
         ]
@@ -76,6 +76,11 @@ def tables() -> dict[str, Table]:
         ),
         "sample_edges": Table(schemas.EDGES, {"bucket_date": edge_day}, edge_keys),
         "relay_edges": Table(schemas.EDGES, {"bucket_date": edge_day}, edge_keys),
+        # What the passing of time makes due, by minute; without a metric, a device's reconciliation.
+        "due_buckets": Table(schemas.DUE_BUCKET, {"due": None, "ingest_batch": None}),
+        # Days with rows and with samples as bitmaps, so that a neighbour is found without history.
+        "series_days": Table(schemas.SERIES_DAYS, {"month": None}, ("device_id", "metric_name", "month")),
+        "relay_days": Table(schemas.SERIES_DAYS, {"month": None}, ("device_id", "metric_name", "month")),
         "import_batches": Table(schemas.IMPORT_BATCH, {"batch_id": None}, ("batch_id",)),
         "topic_mapping": Table(schemas.TOPIC_RULE, {}, ("mapping_id",)),
         "staged_messages": Table(schemas.STAGED_MESSAGE, {"batch_id": None}),
@@ -165,6 +170,36 @@ class Store:
         kept = old.join(new.select(*table.keys), list(table.keys), "left_anti")
         self.replace_partitions(kept.unionByName(new), name)
 
+    # --- folders of partitions -----------------------------------------------------
+
+    def partition_folders(self, name: str, column: str, wanted) -> list[str]:
+        """The folders below the partitions whose value of ``column`` is wanted, as
+        deep as there are partitions: what is added later is not among them."""
+        fs, top = self._fs(self.path(name))
+        if not fs.exists(top):
+            return []
+        found = []
+
+        def walk(folder, inside: bool) -> None:
+            below = [s for s in fs.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+            if inside and not below:
+                found.append(folder.toString())
+            for status in below:
+                key, value = status.getPath().getName().split("=", 1)
+                if inside or key != column or wanted(value):
+                    walk(status.getPath(), inside or key == column)
+
+        walk(top, False)
+        return sorted(found)
+
+    def read_folders(self, name: str, folders: Sequence[str]) -> DataFrame:
+        schema = self.tables[name].full_schema()
+        return self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*folders)
+
+    def remove_folders(self, folders: Sequence[str]) -> None:
+        for folder in folders:
+            self._remove(folder)
+
     # --- maintenance -------------------------------------------------------------
 
     def drop_partitions(self, name: str, column: str, keep) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import clock
 from tidemark.operators import normalize
-from tidemark.plans.refresh import refresh_touched, update_edges
+from tidemark.plans.refresh import note_due, refresh_touched, update_edges
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.store import Store
 
@@ -35,6 +35,7 @@ def ingest_batch(
     store.append(typed.drop("topic_kind", "value_text"), "messages", batch)
     store.append(relay, "relay_state_events", batch)
     store.append(normalize.quarantined_messages(stamped), "quarantined_messages", batch)
+    note_due(store, typed, relay, batch, reference_time)
     update_edges(store, typed, relay)
     refresh_touched(store, typed, relay, reference_time)
 
