@@ -9,6 +9,7 @@ from checks.queries import (
     BASE,
     BOUNDARY,
     GAPS,
+    HALFWAY,
     NOW,
     RANGE,
     REF,
@@ -455,6 +456,25 @@ series AS (
   FROM loaded)"""
 _IMPORTED = NOW.replace(" ", "T") + ".000000Z"
 
+def _after(family, schema) -> str:
+    """Rows of all widths once everything has arrived and every bucket has ended."""
+    columns = [c for c in schema.fieldNames() if c != "refreshed_at"]
+    parts = (f"SELECT '{w}' AS width, * FROM ({family(w, columns)})" for w in WIDTHS)
+    return " UNION ALL ".join(parts).replace(f"TIMESTAMP '{REF}'", f"TIMESTAMP '{NOW}'")
+
+
+def _refreshed() -> str:
+    counted = """count(*) AS row_count, sum({0})::BIGINT AS samples, sum({1})::BIGINT AS gaps,
+  min(bucket_start) AS first, max(bucket_start) AS last"""
+    parts = []
+    for w in WIDTHS:
+        found = counted.format("sample_count", "interval_gap_count")
+        parts.append(f"SELECT '{w}' AS width, metric_name, {found} FROM ({aggregates(w, bounds=RANGE)}) GROUP BY ALL")
+        found = counted.format("energy_numeric_count", "relay_event_count")
+        parts.append(f"SELECT '{w}' AS width, '(device)' AS metric_name, {found} FROM ({reconciliation(w, bounds=RANGE)}) GROUP BY ALL")
+    return " UNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "normalize_messages": _sql(
         _RAW, f"{_TYPED}, coalesce(meta ->> 'topic_kind', '') AS topic_kind FROM typed WHERE NOT malformed"
@@ -543,6 +563,30 @@ FROM final WHERE quality_status = 'rated' GROUP BY ALL""",
   ('staged_messages', 'status_domain', 0), ('staged_messages', 'kind_domain', 0),
   ('rejected_messages', 'one_source', 0)) v(table_name, "check", violations)
 UNION ALL SELECT 'messages_at_mid_january', 'retention', count(*) FROM msgs WHERE seen < TIMESTAMP '2024-01-15'""",
+    ),
+    "fixed_point_after_ingest": _after(aggregates, AGGREGATE),
+    "reconciled_after_ingest": _after(reconciliation, RECONCILIATION),
+    "refreshed_range": _refreshed(),
+    "due_buckets": _sql(
+        f"""{TRAFFIC},
+first AS (
+  SELECT * FROM msgs WHERE device_id IS NOT NULL AND seen < TIMESTAMP '{HALFWAY}' AND epoch_us(committed) % 7 <> 0),
+widths AS (SELECT * FROM (VALUES ('3m', 180), ('15m', 900), ('60m', 3600), ('24h', 86400)) AS t(width, sec)),
+series AS (
+  SELECT DISTINCT width, device_id, metric_name, event_type = 'view' AS status,
+    time_bucket(to_seconds(sec), seen) + to_seconds(sec) AS e FROM first, widths),
+devices AS (
+  SELECT DISTINCT width, device_id, NULL AS metric_name, e FROM series
+  WHERE metric_name IN ('power', 'energy', 'relay_state')),
+entries AS (
+  SELECT DISTINCT e AS due, width, device_id, metric_name, e, false AS touched FROM series
+  UNION ALL SELECT e, width, device_id, metric_name, e, false FROM devices),
+due AS (
+  SELECT * FROM entries WHERE due > date_trunc('minute', TIMESTAMP '{HALFWAY}')
+  UNION ALL SELECT DISTINCT date_trunc('minute', TIMESTAMP '{HALFWAY}'), width, device_id, metric_name, e, true
+  FROM series WHERE status)""",
+        """SELECT strftime(due, '%Y%m%d%H%M') AS due, width, metric_name, touched,
+  count(*) AS buckets, count(DISTINCT device_id) AS devices FROM due GROUP BY ALL""",
     ),
     "touched_buckets": _sql(
         TRAFFIC,

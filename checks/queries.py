@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,17 @@ from tidemark.functions import clock
 from tidemark.operators import contracts, migration, normalize, reports, rules
 from tidemark.operators.aggregates import message_aggregates
 from tidemark.operators.reconcile import power_energy_reconciliation
-from tidemark.sources.checkpoints import cut_lineage
+from tidemark.plans import refresh
+from tidemark.sources.checkpoints import cut_lineage, ensure_checkpoint_dir
 from tidemark.sources.retention import within_retention
+from tidemark.sources.store import Store
+from tidemark.streaming.ingest import ingest_batch
 
 REF = fx.REFERENCE_TIME
 RANGE = ("2024-01-10 05:30:00", "2024-01-20 17:45:00")
 NOW = "2024-02-01 00:00:00"
+# When the first of two ingested batches ends, inside a bucket of every width.
+HALFWAY = "2024-01-16 10:31:00"
 
 SERIES = ["bucket_start", "device_id", "metric_name"]
 BASE = SERIES + """bucket_end topic sample_count numeric_count numeric_avg numeric_min numeric_max
@@ -374,6 +380,77 @@ def touched_buckets(spark, sf_dir):
     )
 
 
+# --- on a store ----------------------------------------------------------------
+
+
+def _store(spark) -> Store:
+    """An empty store below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return Store(spark, f"{spark.sparkContext.getCheckpointDir()}/store-{uuid.uuid4().hex}")
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The traffic in two batches: what arrives by HALFWAY, and the rest with a
+    seventh of the first half, which is late."""
+    raw = fx.raw_messages(spark, sf_dir)
+    late = F.pmod(F.unix_micros("committed_at"), F.lit(7)) == 0
+    first = (F.col("received_at") < F.lit(HALFWAY).cast("timestamp")) & ~late
+    return raw.where(first), raw.where(~first)
+
+
+@cache
+def _ingested(spark, sf_dir) -> Store:
+    """A store after both batches and the minute job; made once a session."""
+    store = _store(spark)
+    for raw, at in zip(_halves(spark, sf_dir), (HALFWAY, NOW), strict=True):
+        ingest_batch(store, raw, f"batch-{at[:10]}", at)
+    refresh.close_buckets(store, NOW)
+    return store
+
+
+def fixed_point_after_ingest(spark, sf_dir):
+    """Stored aggregates of all widths, status series included, without any full refresh."""
+    rows = _ingested(spark, sf_dir).read("message_aggregates")
+    return fx.for_compare(rows.drop("bucket_date", "refreshed_at"))
+
+
+def reconciled_after_ingest(spark, sf_dir):
+    rows = _ingested(spark, sf_dir).read("power_energy_reconciliation")
+    return fx.for_compare(rows.drop("bucket_date", "refreshed_at"))
+
+
+def refreshed_range(spark, sf_dir):
+    """Both derived tables of a range recomputed in a store that has raw rows and edges only."""
+    store = _store(spark)
+    typed = cut_lineage(normalize.normalize_messages(fx.raw_messages(spark, sf_dir), ("topic_kind", "value_text")))
+    relay = cut_lineage(normalize.relay_events(typed))
+    store.append(typed.drop("topic_kind", "value_text"), "messages", "all")
+    store.append(relay, "relay_state_events", "all")
+    refresh.update_edges(store, typed, relay)
+    refresh.refresh_range(store, REF, *RANGE)
+    counted = store.read("message_aggregates").groupBy("width", "metric_name").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("sample_count").alias("samples"),
+        F.sum("interval_gap_count").alias("gaps"), F.min("bucket_start").alias("first"), F.max("bucket_start").alias("last"),
+    )
+    devices = store.read("power_energy_reconciliation").groupBy("width").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("energy_numeric_count").alias("samples"),
+        F.sum("relay_event_count").alias("gaps"), F.min("bucket_start").alias("first"), F.max("bucket_start").alias("last"),
+    )
+    return fx.for_compare(counted.unionByName(devices.withColumn("metric_name", F.lit("(device)"))))
+
+
+def due_buckets(spark, sf_dir):
+    """The ledger after the first batch: what falls due, and when."""
+    store = _store(spark)
+    first, _ = _halves(spark, sf_dir)
+    typed = cut_lineage(normalize.normalize_messages(first, ("topic_kind", "value_text")))
+    refresh.note_due(store, typed, normalize.relay_events(typed), "first", HALFWAY)
+    due = store.read("due_buckets")
+    return due.groupBy("due", "width", "metric_name", "touched").agg(
+        F.count(F.lit(1)).alias("buckets"), F.countDistinct("device_id").alias("devices")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "quarantined_messages": quarantined_messages,
@@ -401,6 +478,10 @@ QUERIES: dict[str, Query] = {
     "quality_bands_60m": quality_bands_60m,
     "contract_violations": contract_violations,
     "touched_buckets": touched_buckets,
+    "fixed_point_after_ingest": fixed_point_after_ingest,
+    "reconciled_after_ingest": reconciled_after_ingest,
+    "refreshed_range": refreshed_range,
+    "due_buckets": due_buckets,
     "rules_from_devices": rules_from_devices,
     "imported_rules": imported_rules,
     "stage_range": stage_range,

@@ -206,7 +206,8 @@ def _lent(edges: DataFrame, days: DataFrame, known: DataFrame, keys: Sequence[st
     """Edges that lend samples to whole recomputed ``days`` (keys, ``bucket_us``):
     those of the nearest sampled day on either side."""
     near = _reach(days, known, keys).join(days, [*keys, "bucket_us"], "left_anti")
-    return _on_days(edges, near, keys)
+    lending = known.where("sampled").select(*keys, "bucket_us")
+    return _on_days(edges, cut_lineage(near.join(lending, [*keys, "bucket_us"], "left_semi")), keys)
 
 
 def refresh_series_buckets(store: Store, buckets: DataFrame, reference_time: datetime | str) -> None:
