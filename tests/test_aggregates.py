@@ -1,4 +1,7 @@
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
@@ -141,13 +144,15 @@ def test_widths_from_one_pass_equal_each_alone(spark, sf, bounds):
     stored, now = fx.messages(spark, sf), "2024-01-20 11:31:00"
     windows = {w: RefreshWindow.resolve(w, now, *bounds) for w in schemas.WIDTHS}
     rows = series_rows(stored.where(windows["24h"].inside("received_at")))
-    contexts = {
-        w: outside_context(series_rows(stored.where(x.outside("received_at"))), x) for w, x in windows.items()
-    }
-    found = message_aggregates_by_width(rows, windows, contexts)
-    for width in windows:
+    contexts = [
+        outside_context(series_rows(stored.where(x.outside("received_at"))), x).withColumn("width_us", F.lit(x.width_us))
+        for x in windows.values()
+    ]
+    found = message_aggregates_by_width(rows, windows, reduce(DataFrame.unionByName, contexts)).cache()
+    for width, window in windows.items():
         alone = message_aggregates(stored, width, now, *bounds)
-        same(alone, found[width], ["bucket_start", "device_id", "metric_name"])
+        ours = found.where(F.col("width_us") == window.width_us)
+        same(alone, ours, ["bucket_start", "device_id", "metric_name"])
 
 
 def test_folded_percentiles(spark):
@@ -164,8 +169,8 @@ def test_folded_percentiles(spark):
     hour, day = 3600 * 10**6, 86400 * 10**6
     narrow = bucket_rows(rows, [180 * 10**6, hour, day])
     for width_us, wide in ((hour, fold(narrow, hour, [hour, day])), (day, fold(fold(narrow, hour, [hour, day]), day, [day]))):
-        shown = percentiles.blended(width_us, "numeric_count")
-        got = wide.selectExpr("device_id", "bucket_us", f"array({', '.join(shown.values())}) AS p").collect()
+        shown = percentiles.blended("numeric_count")
+        got = wide.select("*", *percentiles.named(width_us)).selectExpr("device_id", "bucket_us", f"array({', '.join(shown.values())}) AS p").collect()
         at = f"t_us - pmod(t_us, {width_us}L) AS bucket_us"
         exact = F.percentile("v", F.array(*[F.lit(f) for f in percentiles.FRACTIONS])).alias("p")
         want = {(r.device_id, r.bucket_us): r.p for r in rows.selectExpr("*", at).groupBy("device_id", "bucket_us").agg(exact).collect()}

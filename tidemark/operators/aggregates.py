@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,20 +184,22 @@ def outside_context(rows: DataFrame, window: RefreshWindow) -> DataFrame:
     )
 
 
-def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None = None) -> DataFrame:
-    """All output columns from neighboured bucket rows."""
-    end_us = f"(bucket_us + {window.width_us}L)"
+def finish(
+    buckets: DataFrame, window: RefreshWindow, width: int | str, refreshed_us: int | None = None
+) -> DataFrame:
+    """All output columns from neighboured bucket rows. ``width`` is one for all of
+    them, or the column that has it, which is kept."""
+    end_us = f"(bucket_us + {tw.us_of(width)})"
     moments = {
         "numeric_avg": "numeric_sum / nullif(numeric_count, 0L)",
         "numeric_variance_samp": "IF(numeric_count > 1, numeric_m2 / (numeric_count - 1), NULL)",
-        **pct.blended(window.width_us, "numeric_count"),
+        **pct.blended("numeric_count"),
     }
     spread = {"numeric_stddev_samp": "sqrt(numeric_variance_samp)"}
     measured = tw.add_columns(tw.add_columns(buckets, moments), spread)
-    edged = tw.with_gap_statistics(
-        tw.with_boundaries(measured, window.width_us), window.width_us
-    )
+    edged = tw.with_gap_statistics(tw.with_boundaries(measured, width), width)
     named = edged.selectExpr(
+        *([] if isinstance(width, int) else [width]),
         "timestamp_micros(bucket_us) AS bucket_start",
         f"timestamp_micros({end_us}) AS bucket_end",
         "topic",
@@ -237,7 +240,8 @@ def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None =
             "refreshed_at": f"timestamp_micros({refreshed_us or window.reference}L)",
         },
     )
-    return with_quality(measured).select(*schemas.AGGREGATE.fieldNames())
+    kept = [] if isinstance(width, int) else [width]
+    return with_quality(measured).select(*kept, *schemas.AGGREGATE.fieldNames())
 
 
 def with_quality(rows: DataFrame) -> DataFrame:
@@ -284,49 +288,76 @@ def message_aggregates(
         beyond = messages.where(window.outside("received_at"))
         context = outside_context(series_rows(beyond), window)
     buckets = bucket_rows(rows, [window.width_us], window.counted_until)
-    return aggregate_buckets(buckets, context, window, refreshed_at)
+    buckets = buckets.select("*", *pct.named(window.width_us))
+    return aggregate_buckets(buckets, context, window, window.width_us, refreshed_at)
+
+
+def common_cut(windows: Mapping[str, RefreshWindow]) -> int | None:
+    """Where the counts of all windows end inside a bucket; those that end with one need no cut."""
+    cuts = {w.counted_until for w in windows.values()} - {None}
+    if len(cuts) > 1:
+        raise ValueError("the windows of one pass end their counts at one instant")
+    return max(cuts, default=None)
+
+
+def within(buckets: DataFrame, window: RefreshWindow) -> DataFrame:
+    """The bucket rows that start in the range, with their ``width_us``."""
+    ours = buckets.where(F.col("bucket_us") < window.end)
+    if window.lo is not None:
+        ours = ours.where(F.col("bucket_us") >= window.lo)
+    return ours.withColumn("width_us", F.lit(window.width_us).cast("long"))
+
+
+def context_by_width(edges: DataFrame, windows: Mapping[str, RefreshWindow]) -> DataFrame:
+    """The edges outside the range of each window, with ``width_us``."""
+    none = F.lit(None).cast("long")
+    spans = F.array(*[
+        F.struct(
+            F.lit(w.width_us).cast("long").alias("width_us"),
+            (none if w.lo is None else F.lit(w.lo).cast("long")).alias("lo"),
+            F.lit(w.end).cast("long").alias("end"),
+        )
+        for w in windows.values()
+    ])
+    wide = edges.select("*", F.inline(spans))
+    return wide.where("bucket_us >= end OR bucket_us < lo").drop("lo", "end")
 
 
 def message_aggregates_by_width(
     rows: DataFrame,
     windows: Mapping[str, RefreshWindow],
-    contexts: Mapping[str, DataFrame],
+    context: DataFrame,
     refreshed_at: datetime | str | None = None,
-) -> dict[str, DataFrame]:
-    """Aggregates at several widths from one pass over ``rows`` (of :func:`series_rows`),
-    which cover the buckets of all ``windows`` whole.
+) -> DataFrame:
+    """Aggregates at several widths (``width_us``) from one pass over ``rows`` (of
+    :func:`series_rows`), which cover the buckets of all ``windows`` whole.
 
     The narrowest buckets are computed from the rows and kept; each wider width is
-    folded from the one before it.
+    folded from the one before it. ``context`` lends edges by ``width_us``.
     """
-    order = sorted(windows, key=lambda w: windows[w].width_us)
-    widths_us = [windows[w].width_us for w in order]
-    # Of windows up to the reference time, those that end with a bucket need no cut of their own.
-    cuts = {windows[w].counted_until for w in order} - {None}
-    if len(cuts) > 1:
-        raise ValueError("the windows of one pass end their counts at one instant")
-    buckets = cut_lineage(bucket_rows(rows, widths_us, max(cuts, default=None)))
-    out = {}
-    for i, width in enumerate(order):
+    order = sorted(windows.values(), key=lambda w: w.width_us)
+    widths_us = [w.width_us for w in order]
+    buckets = cut_lineage(bucket_rows(rows, widths_us, common_cut(windows)))
+    parts, gone = [], {c for w in widths_us for c in pct.picks(w)}
+    for i, window in enumerate(order):
         if i:
-            buckets = fold(buckets, widths_us[i], widths_us[i:])
-        window = windows[width]
-        ours = buckets.where(F.col("bucket_us") < window.end)
-        if window.lo is not None:
-            ours = ours.where(F.col("bucket_us") >= window.lo)
-        out[width] = aggregate_buckets(ours, contexts[width], window, refreshed_at)
-    return out
+            buckets = fold(buckets, window.width_us, widths_us[i:])
+        parts.append(within(buckets.select("*", *pct.named(window.width_us)), window).drop(*gone))
+    together = reduce(DataFrame.unionByName, parts)
+    return aggregate_buckets(together, context, order[0], "width_us", refreshed_at)
 
 
 def aggregate_buckets(
     buckets: DataFrame,
     context: DataFrame,
     window: RefreshWindow,
+    width: int | str,
     refreshed_at: datetime | str | None = None,
 ) -> DataFrame:
     """Aggregates of summarised buckets, with neighbours from them and from ``context``."""
-    lent = context.select(*CELL, *tw.EDGE_COLUMNS)
+    of_width = [] if isinstance(width, int) else [width]
+    lent = context.select(*of_width, *CELL, *tw.EDGE_COLUMNS)
     both = buckets.unionByName(lent, allowMissingColumns=True)
-    linked = tw.with_neighbours(both, SERIES).where(F.col("sample_count") > 0)
+    linked = tw.with_neighbours(both, [*of_width, *SERIES]).where(F.col("sample_count") > 0)
     refreshed = None if refreshed_at is None else clock.to_us(refreshed_at)
-    return finish(linked, window, refreshed)
+    return finish(linked, window, width, refreshed)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 FRACTIONS = (0.25, 0.5, 0.75)
 
 
-def _names(width_us: int) -> list[str]:
+def picks(width_us: int) -> list[str]:
+    """Names of the picked order statistics of a width."""
     return [f"_q{width_us}_{side}{i}" for i in range(len(FRACTIONS)) for side in ("low", "high")]
 
 
@@ -38,19 +39,24 @@ def picked(value: str, width_us: int) -> list[Column]:
         for f in FRACTIONS
         for side in ("floor", "ceil")
     ]
-    return [F.expr(sql).alias(name) for sql, name in zip(wanted, _names(width_us), strict=True)]
+    return [F.expr(sql).alias(name) for sql, name in zip(wanted, picks(width_us), strict=True)]
 
 
 def folded(width_us: int) -> list[Column]:
     """Aggregates that take the picks of the width over from narrower buckets."""
-    return [F.max(name).alias(name) for name in _names(width_us)]
+    return [F.max(name).alias(name) for name in picks(width_us)]
 
 
-def blended(width_us: int, count: str) -> dict[str, str]:
-    """``_percentile<i>``: linear interpolation between the picks, for ``count`` values."""
+def named(width_us: int) -> list[Column]:
+    """The picks of the width under names of their own, ``_q_<side><i>``."""
+    return [F.col(name).alias(name.replace(str(width_us), "")) for name in picks(width_us)]
+
+
+def blended(count: str) -> dict[str, str]:
+    """``_percentile<i>``: linear interpolation between the named picks of ``count`` values."""
     out = {}
     for i, f in enumerate(FRACTIONS):
-        low, high = f"_q{width_us}_low{i}", f"_q{width_us}_high{i}"
+        low, high = f"_q_low{i}", f"_q_high{i}"
         at = f"({f}D * ({count} - 1))"
         out[f"_percentile{i}"] = f"""IF({low} = {high}, {low},
             {low} * (ceil{at} - {at}) + {high} * ({at} - floor{at}))"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators import timeweight as tw
-from tidemark.operators.aggregates import RefreshWindow, in_buckets
+from tidemark.operators.aggregates import RefreshWindow, common_cut, in_buckets, within
 from tidemark.sources.checkpoints import cut_lineage
 
 SIGNALS = ("power", "energy", "relay")
@@ -112,9 +113,10 @@ def outside_context(rows: DataFrame, window: RefreshWindow) -> DataFrame:
     )
 
 
-def _lent(context: DataFrame) -> DataFrame:
+def _lent(context: DataFrame, of_width: list[str]) -> DataFrame:
     """Context samples as bucket rows, one column set per signal."""
     return context.selectExpr(
+        *of_width,
         *CELL,
         *[
             f"IF(metric_name = '{s}', {c}, NULL) AS {s}_{c}"
@@ -124,24 +126,29 @@ def _lent(context: DataFrame) -> DataFrame:
     )
 
 
-def relay_on_seconds(width_us: int) -> str:
+def relay_on_seconds(width: int | str) -> str:
     """Seconds in state on; before its first event a relay counts as on."""
     before = "coalesce(relay_before_v, 1.0D)"
-    return f"""IF(relay_first_us IS NULL, {before} * {width_us / clock.SECOND_US}D,
+    return f"""IF(relay_first_us IS NULL, {before} * {tw.seconds_of(width)},
         (relay_first_us - bucket_us) / {clock.SECOND_US}D * {before} + relay_held_area
-        + (bucket_us + {width_us}L - relay_last_us) / {clock.SECOND_US}D * relay_last_v)"""
+        + (bucket_us + {tw.us_of(width)} - relay_last_us) / {clock.SECOND_US}D * relay_last_v)"""
 
 
-def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None = None) -> DataFrame:
-    seconds = f"{window.width_us / clock.SECOND_US}D"
-    end_us = f"(bucket_us + {window.width_us}L)"
+def finish(
+    buckets: DataFrame, window: RefreshWindow, width: int | str, refreshed_us: int | None = None
+) -> DataFrame:
+    """All output columns; ``width`` is one for all rows, or the column that has it, which is kept."""
+    kept = [] if isinstance(width, int) else [width]
+    seconds = tw.seconds_of(width)
+    end_us = f"(bucket_us + {tw.us_of(width)})"
 
     def if_any(signal: str, column: str) -> str:
         return f"IF({signal}_numeric_count > 0, {column}, NULL)"
 
-    edged = tw.with_boundaries(buckets, window.width_us, "power_")
-    edged = tw.with_boundaries(edged, window.width_us, "energy_")
+    edged = tw.with_boundaries(buckets, width, "power_")
+    edged = tw.with_boundaries(edged, width, "energy_")
     out = edged.selectExpr(
+        *kept,
         "timestamp_micros(bucket_us) AS bucket_start",
         f"timestamp_micros({end_us}) AS bucket_end",
         "device_id",
@@ -158,7 +165,7 @@ def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None =
             for m in ("locf", "linear")
             for side in ("start", "end")
         ],
-        f"{relay_on_seconds(window.width_us)} AS relay_on_seconds",
+        f"{relay_on_seconds(width)} AS relay_on_seconds",
         "relay_event_count",
         "true AS relay_state_known",
         f"{window.status_sql(end_us)} AS status",
@@ -179,7 +186,7 @@ def finish(buckets: DataFrame, window: RefreshWindow, refreshed_us: int | None =
     signed["relay_off_pct"] = f"relay_off_seconds / {seconds} * 100.0D"
     for columns in (deltas, signed, relative):
         out = tw.add_columns(out, columns)
-    return out.select(*schemas.RECONCILIATION.fieldNames())
+    return out.select(*kept, *schemas.RECONCILIATION.fieldNames())
 
 
 def power_energy_reconciliation(
@@ -204,42 +211,39 @@ def power_energy_reconciliation(
         )
         context = outside_context(beyond, window)
     buckets = bucket_rows(rows, window.width_us, window.counted_until)
-    return reconcile_buckets(buckets, context, window, refreshed_at)
+    return reconcile_buckets(buckets, context, window, window.width_us, refreshed_at)
 
 
 def reconciliation_by_width(
     rows: DataFrame,
     windows: Mapping[str, RefreshWindow],
-    contexts: Mapping[str, DataFrame],
+    context: DataFrame,
     refreshed_at: datetime | str | None = None,
-) -> dict[str, DataFrame]:
-    """Reconciliation at several widths from one pass over ``rows`` (of
-    :func:`signal_rows`), which cover the buckets of all ``windows`` whole."""
-    order = sorted(windows, key=lambda w: windows[w].width_us)
-    cuts = {windows[w].counted_until for w in order} - {None}
-    if len(cuts) > 1:
-        raise ValueError("the windows of one pass end their counts at one instant")
-    buckets = cut_lineage(bucket_rows(rows, windows[order[0]].width_us, max(cuts, default=None)))
-    out = {}
-    for i, width in enumerate(order):
-        window = windows[width]
+) -> DataFrame:
+    """Reconciliation at several widths (``width_us``) from one pass over ``rows`` (of
+    :func:`signal_rows`), which cover the buckets of all ``windows`` whole.
+    ``context`` lends edges by ``width_us``."""
+    order = sorted(windows.values(), key=lambda w: w.width_us)
+    buckets = cut_lineage(bucket_rows(rows, order[0].width_us, common_cut(windows)))
+    parts = []
+    for i, window in enumerate(order):
         if i:
             buckets = fold(buckets, window.width_us)
-        ours = buckets.where(F.col("bucket_us") < window.end)
-        if window.lo is not None:
-            ours = ours.where(F.col("bucket_us") >= window.lo)
-        out[width] = reconcile_buckets(ours, contexts[width], window, refreshed_at)
-    return out
+        parts.append(within(buckets, window))
+    together = reduce(DataFrame.unionByName, parts)
+    return reconcile_buckets(together, context, order[0], "width_us", refreshed_at)
 
 
 def reconcile_buckets(
     buckets: DataFrame,
     context: DataFrame,
     window: RefreshWindow,
+    width: int | str,
     refreshed_at: datetime | str | None = None,
 ) -> DataFrame:
     """Reconciliation of summarised buckets, with neighbours from them and from ``context``."""
-    both = buckets.unionByName(_lent(context), allowMissingColumns=True)
-    linked = tw.with_neighbours(both, ["device_id"], [f"{s}_" for s in SIGNALS])
+    of_width = [] if isinstance(width, int) else [width]
+    both = buckets.unionByName(_lent(context, of_width), allowMissingColumns=True)
+    linked = tw.with_neighbours(both, [*of_width, "device_id"], [f"{s}_" for s in SIGNALS])
     refreshed = None if refreshed_at is None else clock.to_us(refreshed_at)
-    return finish(linked.where(F.col("meter_rows") > 0), window, refreshed)
+    return finish(linked.where(F.col("meter_rows") > 0), window, width, refreshed)

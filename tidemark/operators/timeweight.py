@@ -159,6 +159,15 @@ def with_neighbours(
     return add_columns(out, ends).drop(*[f"_{p}{side}" for p in prefixes for side in "ab"])
 
 
+def us_of(width: int | str) -> str:
+    """SQL of a width in microseconds: a number, or a column of them."""
+    return f"{width}L" if isinstance(width, int) else width
+
+
+def seconds_of(width: int | str) -> str:
+    return f"{width / SECOND_US}D" if isinstance(width, int) else f"({width} / {SECOND_US}D)"
+
+
 def add_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Append SQL expressions as new columns."""
     return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
@@ -172,7 +181,7 @@ def _interpolated(at: str, left: str, right: str) -> str:
         WHEN {left}_us = {right}_us THEN {left}_v ELSE {between} END"""
 
 
-def with_boundaries(buckets: DataFrame, width_us: int, prefix: str = "") -> DataFrame:
+def with_boundaries(buckets: DataFrame, width: int | str, prefix: str = "") -> DataFrame:
     """Boundary values and time-weighted averages of neighboured bucket rows.
 
     Adds ``locf_start``, ``locf_end``, ``linear_start``, ``linear_end``,
@@ -180,7 +189,7 @@ def with_boundaries(buckets: DataFrame, width_us: int, prefix: str = "") -> Data
     two boundaries are columns of their own, so each is computed once.
     """
     p = prefix
-    start, end = "bucket_us", f"(bucket_us + {width_us}L)"
+    start, end = "bucket_us", f"(bucket_us + {us_of(width)})"
     inside = f"{p}first_us IS NOT NULL"
     nearest = {}
     for part in ("us", "v"):
@@ -203,7 +212,7 @@ def with_boundaries(buckets: DataFrame, width_us: int, prefix: str = "") -> Data
         # The bucket has a sample, and both of its boundaries have support.
         f"{p}_held": f"{inside} AND {p}_sp_us IS NOT NULL AND {p}after_us IS NOT NULL",
     }
-    seconds = f"{width_us / SECOND_US}D"
+    seconds = seconds_of(width)
     averages = {
         f"{p}locf_avg": f"""IF({p}_held, ({p}_lead_in * {p}_sp_v + {p}held_area
             + {p}_lead_out * {p}last_v) / {seconds}, NULL)""",
@@ -214,7 +223,7 @@ def with_boundaries(buckets: DataFrame, width_us: int, prefix: str = "") -> Data
     return add_columns(add_columns(add_columns(buckets, nearest), values), averages)
 
 
-def with_gap_statistics(buckets: DataFrame, width_us: int) -> DataFrame:
+def with_gap_statistics(buckets: DataFrame, width: int | str) -> DataFrame:
     """Gaps between the supported boundaries and the distinct sample times inside
     the bucket: adds ``gaps``, ``gap_mean`` and ``gap_deviation`` (seconds) to the
     rows of :func:`with_boundaries`.
@@ -227,8 +236,8 @@ def with_gap_statistics(buckets: DataFrame, width_us: int) -> DataFrame:
         "_opening": f"""CASE
             WHEN first_us > bucket_us AND _sp_us IS NOT NULL THEN first_us - bucket_us
             WHEN first_us IS NULL AND _sp_us IS NOT NULL AND after_us IS NOT NULL
-            THEN {width_us}L END""",
-        "_closing": f"IF(after_us IS NOT NULL, bucket_us + {width_us}L - last_us, NULL)",
+            THEN {us_of(width)} END""",
+        "_closing": f"IF(after_us IS NOT NULL, bucket_us + {us_of(width)} - last_us, NULL)",
     }
     moments = {
         "gaps": """coalesce(gap_n, 0L) + CAST(_opening IS NOT NULL AS BIGINT)

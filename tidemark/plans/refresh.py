@@ -175,8 +175,16 @@ def _at_widths(edges: DataFrame, *columns) -> DataFrame:
     return wide.select("width", *columns, bucket.alias("bucket_us"), F.lit(True).alias("sampled")).distinct()
 
 
-def _union(parts: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _at_each(edges: DataFrame) -> DataFrame:
+    """Edges once for each width (``width_us``)."""
+    us = [F.lit(s * clock.SECOND_US).cast("long") for s in schemas.WIDTHS.values()]
+    return edges.select("*", F.explode(F.array(*us)).alias("width_us"))
+
+
+def _named_widths(rows: DataFrame) -> DataFrame:
+    names = {s * clock.SECOND_US: w for w, s in schemas.WIDTHS.items()}
+    name = F.create_map(*[F.lit(x).cast(k) for pair in names.items() for x, k in zip(pair, ("long", "string"), strict=True)])
+    return rows.withColumn("width", F.element_at(name, F.col("width_us"))).drop("width_us")
 
 
 def _signal_edges(store: Store) -> DataFrame:
@@ -226,8 +234,7 @@ def refresh_series_buckets(store: Store, buckets: DataFrame, reference_time: dat
     rows = rows.join(days.withColumnRenamed("bucket_us", "day_us"), [*agg.SERIES, "day_us"], "left_semi").drop("day_us")
     context = cut_lineage(_lent(store.read("sample_edges"), days, _indexed(store, ["series_days"]), agg.SERIES))
     windows = _open_windows(reference_time)
-    found = agg.message_aggregates_by_width(rows, windows, dict.fromkeys(windows, context))
-    out = _union(df.withColumn("width", F.lit(w)) for w, df in found.items())
+    out = _named_widths(agg.message_aggregates_by_width(rows, windows, _at_each(context)))
     keys = wanted.select("width", *agg.SERIES, clock.instant("bucket_us").alias("bucket_start"))
     store.upsert(out.join(keys, ["width", *agg.SERIES, "bucket_start"], "left_semi"), "message_aggregates")
 
@@ -249,8 +256,7 @@ def refresh_device_buckets(store: Store, buckets: DataFrame, reference_time: dat
     edges = _signal_edges(store).withColumn("signal", F.col("metric_name"))
     context = cut_lineage(_lent(edges, signals, _signal_days(store), rec.GROUP))
     windows = _open_windows(reference_time)
-    found = rec.reconciliation_by_width(rows, windows, dict.fromkeys(windows, context))
-    out = _union(df.withColumn("width", F.lit(w)) for w, df in found.items())
+    out = _named_widths(rec.reconciliation_by_width(rows, windows, _at_each(context)))
     keys = wanted.select("width", "device_id", clock.instant("bucket_us").alias("bucket_start"))
     store.upsert(out.join(keys, ["width", "device_id", "bucket_start"], "left_semi"), "power_energy_reconciliation")
 
@@ -418,17 +424,12 @@ def refresh_range(
         first = clock.instant_lit(start)
         return kept.where((F.col(time) >= first) & (F.col(day) >= F.to_date(first)))
 
-    def outside(edges: DataFrame) -> dict[str, DataFrame]:
-        at, found = F.col("bucket_us"), {}
-        for width, window in windows.items():
-            beyond = at >= window.end
-            found[width] = edges.where(beyond if window.lo is None else beyond | (at < window.lo))
-        return found
-
     messages = inside(store.read("messages"), "received_at", "received_date")
     relay = inside(store.read("relay_state_events"), "event_at", "event_date")
-    found = agg.message_aggregates_by_width(agg.series_rows(messages), windows, outside(store.read("sample_edges")))
-    store.upsert(_union(df.withColumn("width", F.lit(w)) for w, df in found.items()), "message_aggregates")
-    found = rec.reconciliation_by_width(rec.signal_rows(messages, relay), windows, outside(_signal_edges(store)))
-    store.upsert(_union(df.withColumn("width", F.lit(w)) for w, df in found.items()), "power_energy_reconciliation")
+    context = agg.context_by_width(store.read("sample_edges"), windows)
+    out = agg.message_aggregates_by_width(agg.series_rows(messages), windows, context)
+    store.upsert(_named_widths(out), "message_aggregates")
+    context = agg.context_by_width(_signal_edges(store), windows)
+    out = rec.reconciliation_by_width(rec.signal_rows(messages, relay), windows, context)
+    store.upsert(_named_widths(out), "power_energy_reconciliation")
     _note_open(store, reference_time)
