@@ -138,6 +138,19 @@ def test_added_tokens_in_texts_have_their_ids(spark):
         assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
 
 
+def test_runs_of_a_million_white_space_characters(spark):
+    """Too long for the fast encoder: held to the tokenizer as its file defines it."""
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_001, "\t" * 1_000_000 + " word <|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.packed(docs).groupBy("id").agg(F.sum("length"), F.max("piece"), F.min_by("ids_crc32", "piece"))
+    for i, n, last, crc in cases.of(found, *found.columns):
+        ids = [*plain.encode(texts[i], add_special_tokens=False).ids, 2]
+        first = len(ids) % 1024 or 1024
+        assert (n, last) == (len(ids), -(-len(ids) // 1024) - 1)
+        assert crc == zlib.crc32(struct.pack(f"<{first}I", *ids[:first]))
+
+
 def test_local_search_empties_bins():
     random.seed(9)
     for _ in range(20):

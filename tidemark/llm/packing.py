@@ -8,7 +8,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -18,6 +18,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm.common import written
 
@@ -51,6 +52,20 @@ def encoder(path: str) -> tiktoken.Encoding:
     return known[path]
 
 
+def token_ids(path: str, text: str) -> list[int]:
+    """The ids of a text. The fast encoder gives up on runs of about a million white-space
+    characters; such a text goes to the vocabulary's own tokenizer."""
+    try:
+        return encoder(path).encode(text, allowed_special="all")
+    except ValueError:
+        return tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
+@cache
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(f"{os.path.splitext(path)[0]}.json")
+
+
 def cut(n: int, capacity: int) -> list[int]:
     """Lengths of the pieces of ``n`` tokens: all full but the first, which may be shorter."""
     first = n % capacity or capacity
@@ -62,7 +77,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, end_id: i
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = partial(encoder(path).encode, allowed_special="all")
+        encode = partial(token_ids, path)
         for batch in batches:
             of, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
