@@ -14,6 +14,7 @@ from checks.queries import (
     RANGE,
     REF,
     RELAY,
+    SLICES,
     WEIGHTED,
 )
 from tidemark.schemas import AGGREGATE, RECONCILIATION, WIDTHS
@@ -456,6 +457,22 @@ series AS (
   FROM loaded)"""
 _IMPORTED = NOW.replace(" ", "T") + ".000000Z"
 
+# Batches of the range run; the last holds what it loads.
+_SLICED = f"""
+sliced AS (
+  SELECT *, date_diff('day', DATE '{SLICES[0]}', created_at::DATE) // {SLICES[2]} + 1 AS batch_id
+  FROM mapped WHERE created_at >= DATE '{SLICES[0]}' AND created_at < DATE '{SLICES[1]}'),
+own AS (
+  SELECT *, string_split(mapped_topic, '/') AS seg FROM sliced
+  WHERE batch_id = (SELECT max(batch_id) FROM sliced) AND validation_status = 'mapped'
+    AND mapped_kind IN ('measurement', 'status')),
+added AS (
+  SELECT *, CASE WHEN seg[3] = 'relay' AND seg[4] = '0' THEN seg[2] WHEN seg[1] = 'sensors' AND len(seg) = 3 THEN seg[2] END AS device_id,
+    CASE WHEN seg[3] = 'relay' AND seg[4] = '0' THEN coalesce(seg[5], 'relay_state')
+         WHEN seg[1] = 'sensors' AND len(seg) = 3 THEN seg[3] END AS metric_name
+  FROM own)"""
+
+
 def _after(family, schema) -> str:
     """Rows of all widths once everything has arrived and every bucket has ended."""
     columns = [c for c in schema.fieldNames() if c != "refreshed_at"]
@@ -587,6 +604,29 @@ due AS (
   FROM series WHERE status)""",
         """SELECT strftime(due, '%Y%m%d%H%M') AS due, width, metric_name, touched,
   count(*) AS buckets, count(DISTINCT device_id) AS devices FROM due GROUP BY ALL""",
+    ),
+    "range_run_staged": _sql(
+        f"{_MIGRATION},{_SLICED}",
+        """SELECT batch_id, source_table, validation_status AS status, count(*) AS row_count FROM sliced GROUP BY ALL
+UNION ALL SELECT 1, '(topics)', validation_status, count(*) FROM mapped_topics GROUP BY ALL""",
+    ),
+    "range_run_loaded": _sql(
+        f"{_MIGRATION},{_SLICED}",
+        """SELECT device_id, metric_name, NULL AS state, count(*) AS row_count,
+  min(production_received_at) AS first_at, max(production_received_at) AS last_at FROM added GROUP BY ALL
+UNION ALL SELECT device_id, '(relay)', lower(trim(source_payload)), count(*), min(production_received_at), max(production_received_at)
+FROM added WHERE mapped_kind = 'status' AND metric_name = 'relay_state' GROUP BY ALL""",
+    ),
+    "range_run_batches": _sql(
+        f"""{_MIGRATION},{_SLICED},
+every AS (
+  SELECT batch_id, validation_status FROM sliced UNION ALL SELECT 1, validation_status FROM mapped_topics),
+ended AS (SELECT max(batch_id) AS last FROM sliced),
+loaded AS (SELECT count(*) AS n FROM added)""",
+        """SELECT batch_id, 'history' AS dump_name, CASE WHEN batch_id = last THEN 'loaded' ELSE 'mapped' END AS status,
+  count(*) AS staged_row_count, count_if(validation_status = 'mapped')::BIGINT AS mapped_row_count,
+  CASE WHEN batch_id = last THEN n ELSE 0 END AS inserted_row_count
+FROM every, ended, loaded GROUP BY batch_id, last, n""",
     ),
     "touched_buckets": _sql(
         TRAFFIC,

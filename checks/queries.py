@@ -16,6 +16,7 @@ from tidemark.operators import contracts, migration, normalize, reports, rules
 from tidemark.operators.aggregates import message_aggregates
 from tidemark.operators.reconcile import power_energy_reconciliation
 from tidemark.plans import refresh
+from tidemark.plans.migrate import Migration
 from tidemark.sources.checkpoints import cut_lineage, ensure_checkpoint_dir
 from tidemark.sources.retention import within_retention
 from tidemark.sources.store import Store
@@ -451,6 +452,55 @@ def due_buckets(spark, sf_dir):
     )
 
 
+# A range run: slices of twelve days, the last one clipped.
+SLICES = ("2024-01-05", "2024-01-22", 12)
+
+
+@cache
+def _range_run(spark, sf_dir) -> Migration:
+    """The legacy tables staged and mapped slice by slice; the last slice loaded."""
+    legacy = {table: fx.legacy_table(spark, sf_dir, kind) for kind, (table, _) in fx.LEGACY.items()}
+    legacy[schemas.LEGACY_TOPICS] = fx.legacy_topics(spark, sf_dir)
+    runner = Migration(_store(spark), legacy.get)
+    runner.import_rules(_rule_rows(spark, sf_dir))
+    start, end, days = SLICES
+    batches = runner.run_range("history", start, end, NOW, fx.ZONE, batch_days=days)
+    runner.load_messages(batches[-1], NOW)
+    return runner
+
+
+def range_run_staged(spark, sf_dir):
+    """Staged rows of each slice by table and status; the topics go with the first."""
+    store = _range_run(spark, sf_dir).store
+    rows = store.read("staged_messages").select("batch_id", "source_table", "validation_status")
+    topics = store.read("staged_topics").select("batch_id", F.lit("(topics)").alias("source_table"), "validation_status")
+    # Loaded rows were mapped ones.
+    status = F.when(F.col("validation_status") == "inserted", "mapped").otherwise(F.col("validation_status"))
+    return (
+        rows.unionByName(topics)
+        .groupBy("batch_id", "source_table", status.alias("status"))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+    )
+
+
+def range_run_loaded(spark, sf_dir):
+    """What loading the last slice left in the raw tables."""
+    store = _range_run(spark, sf_dir).store
+    messages = store.read("messages").select("device_id", "metric_name", F.lit(None).cast("string").alias("state"), F.col("received_at").alias("at"))
+    events = store.read("relay_state_events").select("device_id", F.lit("(relay)").alias("metric_name"), "state", F.col("event_at").alias("at"))
+    return fx.for_compare(
+        messages.unionByName(events).groupBy("device_id", "metric_name", "state").agg(
+            F.count(F.lit(1)).alias("row_count"), F.min("at").alias("first_at"), F.max("at").alias("last_at")
+        )
+    )
+
+
+def range_run_batches(spark, sf_dir):
+    """The control rows of the slices: status, counters and bounds."""
+    rows = _range_run(spark, sf_dir).store.read("import_batches")
+    return rows.select("batch_id", "dump_name", "status", "staged_row_count", "mapped_row_count", "inserted_row_count")
+
+
 QUERIES: dict[str, Query] = {
     "normalize_messages": normalize_messages,
     "quarantined_messages": quarantined_messages,
@@ -482,6 +532,9 @@ QUERIES: dict[str, Query] = {
     "reconciled_after_ingest": reconciled_after_ingest,
     "refreshed_range": refreshed_range,
     "due_buckets": due_buckets,
+    "range_run_staged": range_run_staged,
+    "range_run_loaded": range_run_loaded,
+    "range_run_batches": range_run_batches,
     "rules_from_devices": rules_from_devices,
     "imported_rules": imported_rules,
     "stage_range": stage_range,
