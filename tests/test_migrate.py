@@ -150,3 +150,52 @@ def test_remap_reports(spark, tmp_path):
     report = runner.remap(batch, NOW, _rule(spark))
     assert [(r.status, r.row_count) for r in report["status"].collect()] == [("mapped", 4)]
     assert report["unmapped"].count() == 0 and report["summary"].first().mapped_row_count == 4
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loads_compare_stored_keys_and_parse_only_older_files(spark, tmp_path):
+    from tidemark.functions import twins
+
+    store = Store(spark, str(tmp_path / "store"))
+    runner = Migration(store, {"public.mqtt_power": _power(spark, (3, 4))}.get)
+    runner.import_rules(_rule(spark))
+    batch = runner.dry_run("x", NOW)
+    assert runner.load_messages(batch, NOW)[0] == 8
+    again = runner.dry_run("y", NOW)
+    assert runner.load_messages(again, "2024-02-01 01:00:00") == (0, 0)
+    assert not set(twins.KEYS.fieldNames()) & set(store.read("messages").columns)
+
+    stored = store.read("messages", twin_keys=True)
+    assert stored.where("twin_a IS NOT NULL AND twin_walled").count() == 8
+    keyed, older = twins.stored_keys(stored, "received_at"), stored.where("twin_walled IS NULL")
+    scans = [line for line in _plan(keyed).split("\n") if "FileScan" in line]
+    assert len(scans) == 2 and [("metadata" in line.split("ReadSchema")[1]) for line in scans] == [False, True]
+    assert "IsNull(twin_walled)" in scans[1] and older.count() == 0
+
+
+def test_rows_without_keys_are_twins_by_what_they_hold(spark, tmp_path):
+    from tidemark.functions import twins
+
+    meta = '{"source_table":"t","source_topic":"s"%s}'
+    rows = [
+        (1, "a", meta % ""),
+        (2, "b", meta % ',"source_created_at":"w"'),
+        (3, "c", "{}"),
+        (4, "d", '{"source\\u005ftable":"t","source_topic":"s"}'),
+        (5, "e", '{"source_table":"t","source_topic":null}'),
+        (6, "f", '{"source_table":"t"} x'),
+    ]
+    df = spark.createDataFrame(rows, "n int, payload string, metadata string").select(
+        F.timestamp_seconds("n").alias("received_at"), F.lit("topic").alias("topic"), "payload", "metadata"
+    )
+    keys = sorted(map(tuple, twins.stored_keys(df, "received_at").collect()))
+    assert sorted((w or "", walled) for _, _, w, walled in keys) == [("", False), ("", False), ("w", True)]
+    # Two kinds of file in one table: rows with keys beside rows without.
+    with_keys = twins.with_keys(df.where("payload < 'c'"), "received_at")
+    with_keys.write.parquet(str(tmp_path / "k"))
+    df.where("payload >= 'c'").write.mode("append").parquet(str(tmp_path / "k"))
+    mixed = spark.read.schema(with_keys.schema).parquet(str(tmp_path / "k"))
+    assert sorted(map(tuple, twins.stored_keys(mixed, "received_at").collect())) == keys

@@ -156,3 +156,16 @@ def test_wall_clock(spark, wall, expected):
     df = spark.sql(f"SELECT TIMESTAMP_NTZ'{wall}' AS w")
     got = df.select(clock.wall_clock_to_instant(F.col("w"), F.lit("Europe/Berlin")).cast("string")).first()[0]
     assert got == expected
+
+
+def test_only_whole_json_values_are_read(spark):
+    from tidemark.functions import parse
+
+    texts = ["1", '{"a":1}', " [1, 2] ", "null", '"x"', "", " ", "1]", "1] x", "1,2", '1,"2"', '{"a":1}}', '{"a":1}, 5', "{bad", '"x" y', "[1", "]", "1,2]", '{"a":1},5]'] 
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("m", parse.json_marked(F.col("t")))
+    got = [r.t for r in df.where(parse.json_value(F.col("m"), F.col("t")).isNotNull()).collect()]
+    assert got == texts[:5]
+    # The hash of a text, brought by another one, closes nothing.
+    (h,) = spark.range(1).select(F.xxhash64(F.lit("1"))).first()
+    forged = spark.createDataFrame([(f"1,{h}]",), (f"1,{h}",)], "t string").withColumn("m", parse.json_marked(F.col("t")))
+    assert forged.where(parse.json_value(F.col("m"), F.col("t")).isNotNull()).count() == 0

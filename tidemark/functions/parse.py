@@ -87,26 +87,32 @@ def moment(text: Column) -> Column:
     return F.when(plain.rlike(_ISO), plain.try_cast("timestamp")).when(out.rlike(_ISO), out.try_cast("timestamp"))
 
 
-def json_wrapped(text: Column) -> Column:
-    """The text as a variant holding ``[value]``, or NULL unless it is exactly one JSON value."""
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return F.when(in_object.isNotNull() & ~text.rlike(r"^[ \t\n\r]*\z"), in_array)
+def json_marked(text: Column) -> Column:
+    """The text parsed with a mark of its own behind it: a variant of ``[value, mark]``, NULL if broken.
+
+    To be checked by :func:`json_value` in a later projection, so that a text is parsed once.
+    """
+    mark = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
 
 
-def json_object(text: Column) -> Column:
-    """The text as a variant holding ``[object]``, or NULL unless it is exactly
-    one JSON object.
+def json_value(marked: Column, text: Column) -> Column:
+    """A variant whose first element is the value of ``text``, or NULL unless that is exactly one JSON value.
 
-    The JSON reader stops after the first complete value. Wrapping the text once
-    in an array and once in an object leaves no continuation valid in both, so
-    trailing characters make at least one of the two parses fail.
+    The JSON reader stops after the first complete value. A text that closes the array early,
+    or brings elements of its own, cannot leave its hash in the second and last place.
     """
-    return F.when(text.rlike(r"^[ \t\n\r]*\{"), json_wrapped(text))
+    whole = F.try_variant_get(marked, "$[1]", "bigint") == F.xxhash64(text)
+    return F.when(whole & F.try_variant_get(marked, "$[2]", "variant").isNull(), marked)
+
+
+def object_text(text: Column) -> Column:
+    """The text if it can be a JSON object, else NULL."""
+    return F.when(text.rlike(r"^[ \t\n\r]*\{"), text)
 
 
 def object_field(parsed: Column, name: str) -> Column:
-    """Text of a field of :func:`json_object`; JSON null and absence give NULL."""
+    """Text of a field of :func:`json_value`; JSON null and absence give NULL."""
     return F.try_variant_get(parsed, f"$[0].{name}", "string")
 
 

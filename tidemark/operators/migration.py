@@ -7,13 +7,12 @@ that did not move keep theirs, so each stage can be repeated.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import clock, parse, topics
+from tidemark.functions import clock, parse, topics, twins
 from tidemark.operators.rules import first_matching_rules
 
 # Why a staged row is turned down.
@@ -168,9 +167,6 @@ def provenance(imported_at: Column, timed: bool = True) -> Column:
     )
 
 
-_SAME_ROW = ["_at", "_topic", "_payload", "_source_table", "_source_topic"]
-
-
 def _already_loaded(candidates: DataFrame, existing: DataFrame, time_column: str) -> DataFrame:
     """Candidates without a loaded twin.
 
@@ -178,37 +174,15 @@ def _already_loaded(candidates: DataFrame, existing: DataFrame, time_column: str
     source wall-clock time, that must agree too. Only what was loaded before is
     compared: copies inside the batch all stay.
     """
-    keyed = candidates.withColumns(
-        {
-            "_at": F.col("production_received_at"),
-            "_topic": F.col("mapped_topic"),
-            "_payload": F.coalesce(F.col("source_payload"), F.lit("")),
-            "_source_table": F.col("source_table"),
-            "_source_topic": F.col("source_topic"),
-            "_wall": _wall_text(),
-        }
-    )
-    meta = parse.json_object(F.col("metadata"))
-    loaded = existing.select(
-        F.col(time_column).alias("_at"),
-        F.col("topic").alias("_topic"),
-        F.col("payload").alias("_payload"),
-        meta.alias("_meta"),
-    ).select(
-        "_at",
-        "_topic",
-        "_payload",
-        parse.object_field(F.col("_meta"), "source_table").alias("_source_table"),
-        parse.object_field(F.col("_meta"), "source_topic").alias("_source_topic"),
-        parse.object_field(F.col("_meta"), "source_created_at").alias("_wall"),
-        F.coalesce(
-            F.expr("try_variant_get(_meta, '$[0].source_created_at', 'variant') IS NOT NULL"), F.lit(False)
-        ).alias("_has_wall"),
+    payload = F.coalesce(F.col("source_payload"), F.lit(""))
+    keys = twins.identity(
+        F.col("production_received_at"), F.col("mapped_topic"), payload, F.col("source_table"), F.col("source_topic")
     )
-    c, e = keyed.alias("c"), loaded.alias("e")
-    twin = reduce(lambda x, y: x & y, [F.col(f"c.{k}") == F.col(f"e.{k}") for k in _SAME_ROW])
-    agrees = (F.col("c._wall") == F.col("e._wall")) | ~F.col("e._has_wall")
-    return c.join(e, twin & agrees, "left_anti").drop(*_SAME_ROW, "_wall")
+    c = candidates.withColumns({**keys, "_wall": _wall_text()}).alias("c")
+    e = twins.stored_keys(existing, time_column).alias("e")
+    twin = (F.col("c.twin_a") == F.col("e.twin_a")) & (F.col("c.twin_b") == F.col("e.twin_b"))
+    agrees = (F.col("c._wall") == F.col("e.twin_wall")) | ~F.col("e.twin_walled")
+    return c.join(e, twin & agrees, "left_anti").drop(*keys, "_wall")
 
 
 def message_candidates(staged: DataFrame, existing_messages: DataFrame) -> DataFrame:

@@ -21,10 +21,16 @@ def _decoded(raw: DataFrame) -> DataFrame:
             else F.col("received_at"),
         }
     )
-    parsed = text.withColumns(
+    marked = text.withColumns(
         {
-            "_body": parse.json_object(F.col("payload")),
-            "_meta": parse.json_wrapped(F.col("metadata")),
+            "_body": parse.json_marked(parse.object_text(F.col("payload"))),
+            "_meta": parse.json_marked(F.col("metadata")),
+        }
+    )
+    parsed = marked.withColumns(
+        {
+            "_body": parse.json_value(F.col("_body"), F.col("payload")),
+            "_meta": parse.json_value(F.col("_meta"), F.col("metadata")),
         }
     )
     fields = _text_fields(parsed)
@@ -182,8 +188,9 @@ def quarantined_topics(raw: DataFrame) -> DataFrame:
 
 def _inventory_fields(raw: DataFrame) -> DataFrame:
     prepare(raw.sparkSession)
-    parsed = raw.withColumn("metadata", F.coalesce(F.col("metadata"), F.lit("{}"))).withColumn(
-        "_meta", parse.json_wrapped(F.col("metadata"))
+    text = raw.withColumn("metadata", F.coalesce(F.col("metadata"), F.lit("{}")))
+    parsed = text.withColumn("_meta", parse.json_marked(F.col("metadata"))).withColumn(
+        "_meta", parse.json_value(F.col("_meta"), F.col("metadata"))
     )
 
     def field(name: str) -> Column:

@@ -171,7 +171,7 @@ class Migration:
         """Stored raw rows of other loads on the days of the staged rows."""
         at = F.to_date("production_received_at")
         span = staged.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
-        rows = self.store.read(name).where(F.col("ingest_batch") != tag)
+        rows = self.store.read(name, twin_keys=True).where(F.col("ingest_batch") != tag)
         if span.lo is None:
             return rows.where(F.lit(False))
         return rows.where(F.col(time).between(F.lit(span.lo), F.lit(span.hi)))

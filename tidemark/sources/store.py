@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tidemark import schemas
-from tidemark.functions import clock
+from tidemark.functions import clock, twins
 from tidemark.session import prepare
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.retention import RETENTION_MONTHS, oldest_day
@@ -26,11 +26,12 @@ from tidemark.sources.retention import RETENTION_MONTHS, oldest_day
 @dataclass(frozen=True)
 class Table:
     """Layout of a stored table: columns, partition columns with how they are
-    derived, and the upsert key."""
+    derived, the upsert key, and for raw rows the time of their twin keys."""
 
     schema: StructType
     partitions: dict[str, Column | None] = field(default_factory=dict)
     keys: tuple[str, ...] = ()
+    twin_time: str | None = None
 
     def full_schema(self) -> StructType:
         have = set(self.schema.fieldNames())
@@ -38,7 +39,8 @@ class Table:
         added = [
             StructField(p, kinds.get(p, DateType())) for p in self.partitions if p not in have
         ]
-        return StructType([*self.schema.fields, *added])
+        beside = twins.KEYS.fields if self.twin_time else []
+        return StructType([*self.schema.fields, *beside, *added])
 
 
 
@@ -51,10 +53,14 @@ def tables() -> dict[str, Table]:
     )
     return {
         "messages": Table(
-            schemas.MESSAGE, {"received_date": F.to_date("received_at"), "ingest_batch": None}
+            schemas.MESSAGE,
+            {"received_date": F.to_date("received_at"), "ingest_batch": None},
+            twin_time="received_at",
         ),
         "relay_state_events": Table(
-            schemas.RELAY_EVENT, {"event_date": F.to_date("event_at"), "ingest_batch": None}
+            schemas.RELAY_EVENT,
+            {"event_date": F.to_date("event_at"), "ingest_batch": None},
+            twin_time="event_at",
         ),
         "quarantined_messages": Table(
             StructType(
@@ -117,15 +123,20 @@ class Store:
 
     # --- reading and writing -----------------------------------------------------
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, twin_keys: bool = False) -> DataFrame:
+        """A table; of raw rows also the columns that tell loaded twins, if asked for."""
         schema = self.tables[name].full_schema()
         if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+            rows = self.spark.createDataFrame([], schema)
+        else:
+            rows = self.spark.read.schema(schema).parquet(self.path(name))
+        return rows if twin_keys else rows.drop(*twins.KEYS.fieldNames())
 
     def _shaped(self, df: DataFrame, name: str) -> DataFrame:
         table = self.tables[name]
         added = {p: c for p, c in table.partitions.items() if c is not None}
+        if table.twin_time:
+            df = twins.with_keys(df, table.twin_time)
         return schemas.conform(df.withColumns(added) if added else df, table.full_schema())
 
     def _overwrite_partitions(self, df: DataFrame, path: str, partitions: Sequence[str]) -> None:
