@@ -149,24 +149,29 @@ def one_word_apart(a, b):
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
-def dropped_lines(docs, min_words=5):
+def dropped_lines(docs, min_words=5, min_chars=20):
+    """By words, or by the characters of lines with fewer words; shorter ones only if equal."""
     occurrences = []
     for i, text in docs:
         for k, line in enumerate((text or "").split("\n")):
             w = tuple(words(line))
-            if len(w) >= min_words:
+            if w:
                 occurrences.append(((-1 if i is None else i, k), w))
     first = {}
     for place, w in sorted(occurrences):
         first.setdefault(w, place)
-    by_ends = defaultdict(list)
-    for w in first:
-        by_ends["first", w[0]].append(w)
-        by_ends["last", w[-1]].append(w)
-    earliest = {}
-    for w, place in first.items():
-        near = by_ends["first", w[0]] + by_ends["last", w[-1]]
-        earliest[w] = min([place, *(first[x] for x in near if one_word_apart(x, w))])
+    earliest = dict(first)
+    # Lines one edit apart agree in one half of the shorter one.
+    for by_words in (True, False):
+        tokens = {w: w if by_words else tuple(" ".join(w)) for w in first if (len(w) >= min_words) == by_words}
+        tokens = {w: t for w, t in tokens.items() if by_words or len(t) >= min_chars}
+        by_ends = defaultdict(list)
+        for w, t in tokens.items():
+            for end in (("first", t[:2]), ("last", t[-2:])):
+                by_ends[end].append(w)
+        for w, t in tokens.items():
+            near = by_ends["first", t[:2]] + by_ends["last", t[-2:]]
+            earliest[w] = min([first[w], *(first[x] for x in near if one_word_apart(tokens[x], t))])
     out = defaultdict(set)
     for place, w in occurrences:
         if earliest[w] < place:

@@ -135,6 +135,23 @@ def test_line_dedup_on_odd_and_dense_rows(spark):
     assert line_dedup.repeated_lines(cases.no_docs(spark)).count() == 0
 
 
+def test_lines_of_few_words_repeat_too(spark):
+    japanese = "これは空白のない長い行で、どの文書にも同じ形で現れるものです"
+    spread = " ".join(japanese)
+    rows = [
+        (1, f"Sign up now\n{japanese}\nAll  rights\treserved\n\n \n{spread}"),
+        (2, f"Sign up now\nSign up today\n{japanese[:9]}違{japanese[10:]}\nAll rights reserved\n"),
+        (3, f"{japanese[1:]}\n\U0001f600{japanese}\n{japanese}。。\nx\n{'word ' * 20000}"),
+        (4, f"x\nhttps://example.org/a/long/path?q=1\n{'word ' * 20000}"),
+        (5, "https://example.org/a/long/path?q=2\nhttps://example.org/a/longer/path?q=2"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {i: set(d) for i, d in cases.of(line_dedup.repeated_lines(docs), "id", "dropped")}
+    assert got == {1: set(), 2: {0, 2, 3}, 3: {0, 1}, 4: {0, 2}, 5: {0}}
+    want = cases.dropped_lines(rows)
+    assert got == {i: want[i] for i, _ in rows}
+
+
 def test_lines_are_cut_from_the_text(spark):
     docs = cases.odd_docs(spark)
     left = line_dedup.without_repeated_lines(docs)

@@ -1,11 +1,11 @@
-"""Near-duplicate lines: a deletion-neighbourhood join over lines, one word apart at most."""
+"""Near-duplicate lines: a deletion-neighbourhood join over lines, one word or one character apart."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, bind, maybe_among, running, text_or_empty, unique_name, written
+from tidemark.llm.common import bind, maybe_among, running, text_or_empty, unique_name, written
 from tidemark.operators.ranking import ranked
 
 
@@ -13,24 +13,35 @@ def _xor(a: Column, b: Column) -> Column:
     return a.bitwiseXOR(b)
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """``row``, ``at``, ``line`` (its words, one space apart) and ``key`` (a hash) of each line long enough."""
+# White space that is not one space already; newlines bound lines.
+_UNEVEN = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``row``, ``at``, ``line`` (its words, one space apart) and ``key`` (a hash) of each line with a word."""
     body = text_or_empty(text_col)
-    # Short lines are left out before the rows are made: a filter behind would do all this again.
-    split = F.transform(
-        F.split(body, "\n"), lambda x, i: F.struct(i.alias("at"), F.trim(F.regexp_replace(x, SPACE, " ")).alias("line"))
-    )
-    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
-    long_enough = F.filter(split, lambda x: (spaces(x["line"]) >= min_words - 1) & (x["line"] != ""))
+    even = F.split(F.regexp_replace(body, _UNEVEN, " "), "\n")
+    split = F.transform(even, lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("line")))
+    # Blank lines are left out before the rows are made: a filter behind would do all this again.
+    worded = F.filter(split, lambda x: x["line"] != "")
     row = F.struct(F.col(id_col).alias("id"), F.xxhash64(body).alias("text_key"))
     return (
-        docs.select(row.alias("row"), F.explode(long_enough).alias("line"))
+        docs.select(row.alias("row"), F.explode(worded).alias("line"))
         .select("row", "line.at", "line.line")
         .withColumn("key", F.xxhash64("line"))
     )
 
 
-def _half_keys(words: Column) -> Column:
+def _by_words(line: Column, min_words: int) -> Column:
+    """Whether a line is compared by words; one of fewer words is by characters."""
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= min_words - 1
+
+
+def _tokens(line: Column, worded: Column) -> Column:
+    return F.when(worded, F.split(line, " ")).otherwise(F.split(line, ""))
+
+
+def _half_keys(words: Column, worded: Column) -> Column:
     """(``ahead``, ``half``): hashes of the first and last halves, as lines a word apart agree in one.
 
     A half has as many words as half of the shorter line, so each line has those for being
@@ -39,8 +50,8 @@ def _half_keys(words: Column) -> Column:
 
     def halves(n: Column) -> Column:
         # Joined first: hashing one text is cheaper than hashing its words.
-        first = F.xxhash64(F.lit(0), n, F.array_join(F.slice(words, 1, n), " "))
-        last = F.xxhash64(F.lit(1), n, F.array_join(F.slice(words, -n, n), " "))
+        first = F.xxhash64(F.lit(0), worded, n, F.array_join(F.slice(words, 1, n), " "))
+        last = F.xxhash64(F.lit(1), worded, n, F.array_join(F.slice(words, -n, n), " "))
         return F.array(
             F.struct(F.lit(True).alias("ahead"), first.alias("half")),
             F.struct(F.lit(False).alias("ahead"), last.alias("half")),
@@ -62,7 +73,7 @@ def _places(low: Column, middle: Column, high: Column, ahead: Column, behind: Co
     )
 
 
-def _variants(words: Column, ahead: Column, behind: Column) -> Column:
+def _variants(words: Column, worded: Column, ahead: Column, behind: Column) -> Column:
     """Hashed keys (``a``, ``b``) of the line with one word left out, and of the line as what is left of a longer one.
 
     Equal keys mean that all words before and all after a place agree: ``swap`` keys join lines of
@@ -80,7 +91,7 @@ def _variants(words: Column, ahead: Column, behind: Column) -> Column:
         # p[i]: words before i. s[n] ^ s[i]: words from i on.
         def keys(name: str, size: Column, high: Column, skipped: int) -> Column:
             def key(i: Column) -> Column:
-                a = F.get(p, i).bitwiseXOR(F.xxhash64(F.lit(name), size, i))
+                a = F.get(p, i).bitwiseXOR(F.xxhash64(F.lit(name), worded, size, i))
                 return F.struct(a.alias("a"), F.get(s, n).bitwiseXOR(F.get(s, i + skipped)).alias("b"))
 
             return F.transform(_places(F.lit(0), F.floor(size / 2).cast("int"), high, ahead, behind), key)
@@ -93,8 +104,8 @@ def _variants(words: Column, ahead: Column, behind: Column) -> Column:
     )
 
 
-def within_one_word(a: Column, b: Column) -> Column:
-    """Whether two word arrays are equal but for one word inserted, left out or replaced."""
+def within_one_edit(a: Column, b: Column) -> Column:
+    """Whether two arrays of words or characters are equal but for one inserted, left out or replaced."""
 
     def tails(first: Column) -> Column:
         after_a = F.when(F.size(a) >= F.size(b), first + 1).otherwise(first)
@@ -107,15 +118,17 @@ def within_one_word(a: Column, b: Column) -> Column:
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5, min_chars: int = 20
 ) -> DataFrame:
     """One row per document: ``row``, ``id``, ``n_lines``, ``n_dropped``, ``dropped`` (line numbers from 0).
 
-    Lines are what newlines bound; their words are compared, not the white space between. Of a
-    line of at least ``min_words`` words an occurrence is dropped if an earlier one has the same
-    words, or if any line with an earlier occurrence is one word edit away (a word inserted, left out
-    or replaced). Earlier means a smaller id, then a smaller line number; null ids come first.
-    Dropped lines count as earlier ones too. Shorter lines always stay.
+    Lines are what newlines bound; their words are compared, not the white space between. An
+    occurrence of a line with a word is dropped if an earlier one has the same words, or if any line
+    with an earlier occurrence is one edit away: a word inserted, left out or replaced among lines
+    of at least ``min_words`` words, a character among lines of fewer words (the case of scripts
+    without spaces) that have at least ``min_chars`` characters. Lines shorter than both have only
+    exact repeats, as one edit makes another line of them. Earlier means a smaller id, then a smaller line
+    number; null ids come first. Dropped lines count as earlier ones too. Lines without a word stay.
 
     Only lines that share a half with another go into the neighbourhood join; there each group of
     equal variants is linked to its earliest line, never pair by pair, and links are verified on
@@ -123,17 +136,21 @@ def repeated_lines(
     as earlier than each other and get the same result. Other columns are not read; no rows give
     no rows.
     """
-    if min_words < 2:
-        raise ValueError("lines of one word have no halves")
-    lines = _lines(docs, id_col, text_col, min_words)
+    if min_words < 2 or min_chars < 2:
+        raise ValueError("lines of one word or character have no halves")
+    worded = _by_words(F.col("line"), min_words)
+    halves_of = bind(worded, lambda w: bind(_tokens(F.col("line"), w), lambda t: _half_keys(t, w)))
+    eligible = worded | (F.length("line") >= min_chars)
+    lines = _lines(docs, id_col, text_col)
     place = F.struct(F.col("row.id").alias("id"), "at")
     keyed = written(
         lines.select(
             "row",
             "at",
+            "line",
             "key",
             F.xxhash64(F.lit(1), "line").alias("key2"),
-            bind(F.split("line", " "), _half_keys).alias("halves"),
+            F.when(eligible, halves_of).alias("halves"),
         ),
         "lines",
     )
@@ -152,7 +169,7 @@ def repeated_lines(
     )
     # The text of each candidate once; the bitmap keeps the others out of the exchange.
     texts = (
-        maybe_among(lines, close)
+        maybe_among(keyed.select("row", "at", "line", "key"), close)
         .groupBy("line")
         .agg(F.min("key").alias("key"), F.min(place).alias("first"))
         .join(close, "key")
@@ -160,7 +177,8 @@ def repeated_lines(
     )
     # Numbered in the order of their first occurrence, so the least number is the earliest.
     texts = ranked(written(texts, "line-texts"), "nth", 0, "first", "key", "key2")
-    keys = bind(F.split("line", " "), lambda w: _variants(w, F.col("ahead"), F.col("behind")))
+    both = (F.col("ahead"), F.col("behind"))
+    keys = bind(worded, lambda w: bind(_tokens(F.col("line"), w), lambda t: _variants(t, w, *both)))
     variants = texts.select("nth", F.explode(keys).alias("v"))
     variants = written(variants.select("nth", "v.a", "v.b"), "line-variants")
     earliest = written(
@@ -170,7 +188,10 @@ def repeated_lines(
     linked = maybe_among(variants, earliest, "a").join(earliest, ["a", "b"]).where("e_nth < nth")
     linked = linked.select("nth", "e_nth").distinct()
     other = texts.select(F.col("nth").alias("e_nth"), F.col("line").alias("e_line"), F.col("first").alias("e_first"))
-    close_by = bind(F.split("line", " "), lambda a: bind(F.split("e_line", " "), lambda b: within_one_word(a, b)))
+    def tokens(name: str) -> Column:
+        return _tokens(F.col(name), _by_words(F.col(name), min_words))
+
+    close_by = bind(tokens("line"), lambda a: bind(tokens("e_line"), lambda b: within_one_edit(a, b)))
     proven = (
         linked.join(other, "e_nth")
         .join(texts.select("nth", "key", "key2", "line"), "nth")
