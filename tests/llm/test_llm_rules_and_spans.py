@@ -1,5 +1,6 @@
 import base64
 import random
+import re
 import time
 
 import corpus_cases as cases
@@ -159,6 +160,47 @@ def test_random_tokens_are_told_from_prose(spark, sf):
     assert sum(n for i, n in got.items() if i not in keys) <= 0.1 * found
 
 
+def test_keys_of_every_length_are_found_among_ordinary_tokens(spark, sf):
+    random.seed(11)
+    symbols = secrets.SYMBOLS["base62"]
+
+    def key(n):
+        # A run without a digit is no token.
+        return "".join(random.choice(symbols) for _ in range(n - 1)) + random.choice("0123456789")
+
+    lengths = {n: {key(n) for _ in range(200)} for n in (20, 24, 28, 40, 64)}
+    names = ["order", "number", "invoice", "page", "session", "customer", "report", "version", "archive", "summary"]
+    ordinary = {
+        "-".join(random.choices(names, k=random.randrange(2, 6))) + f"-{random.randrange(10**6):07d}" for _ in range(1000)
+    }
+    ordinary = {t for t in ordinary if len(t) >= 16}
+    planted = sorted(set().union(ordinary, *lengths.values()))
+    sentence = "The committee met again and agreed that"
+    rows = [(10_000 + i, f"{sentence} {t} was of no further interest to anybody there") for i, t in enumerate(planted)]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = secrets.secret_spans(docs).where("id >= 10000 AND size(random) > 0")
+    got = {planted[i - 10_000] for (i,) in cases.of(found, "id")}
+    for n, keys in lengths.items():
+        assert len(got & keys) >= 0.9 * len(keys), n
+    assert len(got & ordinary) <= 0.05 * len(got)
+
+
+def test_prose_in_other_alphabets(spark):
+    text = "The Quick brown fox jumps over 13 lazy dogs while x9y sleeps. " * 40
+    rows = spark.createDataFrame([(text,), ("",), ("zu kurz",), ("1a2b3c4d " * 300,)], "t string")
+    long, *none = (r.p for r in rows.select(secrets.prose_runs(F.col("t")).alias("p")).collect())
+    assert none == [[], [], []]
+    assert len(long) == 3 * len(secrets.NULL_ALPHABETS)
+    words = "Quickbrownjumpswhilesleeps" * 40
+    for r in long:
+        n = len(r.token)
+        assert n in secrets.CLASS_LENGTHS and set(r.token) <= set(secrets.SYMBOLS[r.encoding])
+        if r.encoding == "base62":
+            ahead, behind = re.fullmatch("([A-Za-z]*)[0-9]+([A-Za-z]*)", r.token).groups()
+            assert n / 5 - 1 <= n - len(ahead + behind) <= n / 2 and ahead + behind in words
+
+
 def test_p_values_of_known_strings(spark):
     rows = spark.createDataFrame([("0123456789abcdef" * 4,), ("aaaaaaaaaaaaaaaaaaaaaaa1",), ("3f9a1c07be52d84660ef1b97c2a85d3e",)], "t string")
     ordered, constant, mixed = (r.b for r in rows.select(secrets.battery(F.col("t")).alias("b")).collect())
