@@ -1,7 +1,9 @@
 import base64
+import math
 import random
 import re
 import time
+from collections import Counter, defaultdict
 
 import corpus_cases as cases
 import pytest
@@ -135,6 +137,76 @@ def test_terms_that_disclose_an_address(spark):
     assert spans[0].startswith("email:") and all(s.startswith("term:") for s in spans[1:])
 
 
+def test_a_disclosing_term_is_marked_wherever_it_stands(spark):
+    random.seed(4)
+    pool = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"]
+
+    def filler(n):
+        return " ".join(random.choices(pool, k=n))
+
+    rows = [(i, f"{filler(12)} {i}x") for i in range(1500)]
+    # The name stands far from the address, in 12 documents, and alone in one more.
+    rows += [(2000 + i, f"Ulrike {filler(150)} mail jo@home.example {filler(4)}") for i in range(12)]
+    rows += [(3000, f"{filler(20)} ULRIKE {filler(20)} ulrike"), (3001, f"{filler(5)} Walpurga once with a@b.example")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    marked = {
+        r.id: [texts[r.id][t.start : t.stop] for t in r.terms]
+        for r in pii.personal_data(docs).where("size(terms) > 0").select("id", "terms").collect()
+    }
+    assert marked == {**{2000 + i: ["Ulrike", "mail"] for i in range(12)}, 3000: ["ULRIKE", "ulrike"]}
+    clean = dict(cases.of(pii.sanitised(docs), "doc_id", "text"))
+    assert "lrike" not in clean[3000] and "LRIKE" not in clean[3000] and clean[1200] == texts[1200]
+
+
+def disclosing_terms(texts, min_bits=6.0, alpha=0.01, least=0.8):
+    """Terms that disclose an address of ``texts``, counted pair by pair."""
+    held, said, both, met = Counter(), Counter(), Counter(), defaultdict(set)
+    for text in texts:
+        mails = {m.lower() for m in re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)}
+        words = {w.lower() for w in text.split() if re.fullmatch("[A-Za-z]{3,}", w)}
+        held.update(mails)
+        said.update(words)
+        for mail in mails:
+            for word in words:
+                both[mail, word] += 1
+                met[mail, word].add(text)
+    n = len(texts)
+    bits = {m: math.log2(n / k) for m, k in held.items()}
+    asked = [
+        (m, w)
+        for m, w in both
+        if held[m] >= 2 and said[w] >= 2 and bits[m] >= min_bits and said[w] <= held[m] * 2 ** ((1 - least) * bits[m])
+    ]
+    out = set()
+    for m, w in asked:
+        k, chance = len(met[m, w]), held[m] * said[w] / n
+        tail = k - chance + k * math.log(chance / k)
+        if k >= 2 and k > chance and tail <= math.log(alpha / len(asked)) and 1 + math.log2(both[m, w] / said[w]) / bits[m] >= least:
+            out.add(w)
+    return out
+
+
+def test_terms_against_brute_force(spark):
+    random.seed(8)
+    names = ["".join(random.choices("abcdefgh", k=4)) for _ in range(300)]
+    owners = {f"p{i}@mail.example": random.sample(names, 3) for i in range(40)}
+    texts = []
+    for _ in range(3000):
+        words = random.choices(names, weights=range(1, 301), k=8)
+        if random.random() < 0.2:
+            mail, own = random.choice(list(owners.items()))
+            words += [mail, *(w + "x" for w in own if random.random() < 0.8)]
+        texts.append(" ".join(words))
+    texts += texts[:300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {
+        texts[r.id][t.start : t.stop] for r in pii.personal_data(docs).select("id", "terms").collect() for t in r.terms
+    }
+    want = disclosing_terms(texts)
+    assert want and got == want
+
+
 def test_sanitised_keeps_columns(spark):
     docs = cases.odd_docs(spark)
     out = pii.sanitised(docs)

@@ -1,7 +1,9 @@
-"""Personal data: base spans, and terms of the context that disclose what the spans protect."""
+"""Personal data: base spans, and terms that disclose what the spans protect wherever they stand."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,90 +76,73 @@ def base_spans(body: Column) -> Column:
     return F.concat(*(named(k) for k in KINDS))
 
 
-def contexts(found: DataFrame, reach: int) -> DataFrame:
-    """``row``, ``entity``, ``context``, ``term``, ``start``, ``stop`` of each term near a span.
-
-    ``found`` has ``row``, ``body`` and ``spans``. A term lies wholly within ``reach`` code points
-    of a span; ``context`` is a hash of the text on its side.
-    """
-    def sides(s: Column) -> Column:
-        left_at = F.greatest(s["start"] - (reach + 1), F.lit(0))
-        left = F.substring("body", left_at + 1, s["start"] - left_at)
-        right = F.substring("body", s["stop"] + 1, F.lit(reach + 1))
-        return F.struct(
-            s["entity"].alias("entity"),
-            F.array(
-                F.struct(left_at.alias("at"), left.alias("text")), F.struct(s["stop"].alias("at"), right.alias("text"))
-            ).alias("sides"),
-        )
-
-    # Only the windows leave the row, not the text once per span.
-    span = found.where(F.size("spans") > 0).select("row", F.explode(F.transform("spans", sides)).alias("s"))
-    side = span.select("row", F.col("s.entity").alias("entity"), F.explode("s.sides").alias("side"))
-    side = side.select("row", "entity", "side.at", F.lower("side.text").alias("near"))
-    words = side.withColumn("word", F.explode(matches(F.col("near"), TERM)))
-    # A word at the outer edge may be cut off.
-    whole = ((F.col("word.start") > 0) | (F.col("at") == 0)) & (F.col("word.stop") <= reach)
-    return words.where(whole).select(
-        "row",
-        "entity",
-        F.xxhash64(F.regexp_replace("near", r"[\x20\x09-\x0D]+", " ")).alias("context"),
-        F.col("word.value").alias("term"),
-        (F.col("at") + F.col("word.start")).alias("start"),
-        (F.col("at") + F.col("word.stop")).alias("stop"),
-    )
-
-
-def document_frequency(bodies: DataFrame) -> DataFrame:
-    """``term`` and the number of rows of ``body`` it occurs in, over the whole corpus."""
-    terms = F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0)))
-    return bodies.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+def terms_of(body: Column) -> Column:
+    """The distinct terms of a text, lower-cased."""
+    found = F.array_distinct(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.transform(found, F.lower))
 
 
 def disclosures(
-    near: DataFrame, bodies: DataFrame, rows: int, min_contexts: int, min_bits: float, generalise_at: float, remove_at: float
+    based: DataFrame, rows: int, min_bits: float, alpha: float, generalise_at: float, remove_at: float
 ) -> DataFrame:
-    """``entity``, ``term``, ``disclosure``, ``action`` of the terms that tell too much of an entity.
+    """``term``, ``disclosure``, ``action`` of the terms that tell too much of an entity.
 
-    The disclosure of an entity by a term is their pointwise mutual information over the corpus as
-    a share of the entity's own information: 1 if the term occurs with that entity only.
+    ``based`` has ``row``, ``entities`` and ``terms``. The disclosure of an entity by a term is their
+    pointwise mutual information over whole documents as a share of the entity's own information: 1
+    if each document with the term has the entity. A pair counts if it is met in two different texts
+    or more and, at the level ``alpha`` divided by the number of pairs, oftener than two independent
+    things would be (Chernoff's bound of the Poisson tail; copies of one text are one meeting).
     """
-    pairs = (
-        near.groupBy("entity", "term", "context", "row")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term", "context")
-        .agg(F.count("*").alias("n"))
-        .groupBy("entity", "term")
-        .agg(F.sum("n").alias("n_pair"), F.count("*").alias("n_contexts"))
-        .where(F.col("n_contexts") >= min_contexts)
-    )
-    held = near.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     bits = F.log2(F.lit(float(max(rows, 1))) / F.col("n_entity"))
-    known = pairs.join(held.where(bits >= min_bits), "entity").join(document_frequency(bodies), "term")
-    shared = F.least(F.col("n_pair") / F.col("n_term"), F.lit(1.0))
-    disclosure = 1 + F.log2(shared) / bits
-    return known.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= generalise_at).withColumn(
-        "action", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise")
+    held = based.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # The most documents a term can be in and still disclose the entity so much.
+    held = held.withColumn("bits", bits).withColumn("most", F.col("n_entity") * F.pow(F.lit(2.0), (1 - generalise_at) * F.col("bits")))
+    held = written(held.where((F.col("bits") >= min_bits) & (F.col("n_entity") >= 2)), "pii-entities")
+    most = held.agg(F.max("most")).first()[0] or 0.0
+    known = based.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    known = known.where((F.col("n_term") >= 2) & (F.col("n_term") <= most))
+    carried = (
+        based.select("row.text_key", F.explode("entities").alias("entity"))
+        .join(held, "entity")
+        .groupBy("text_key", "entity", "n_entity", "bits", "most")
+        .agg(F.count("*").alias("copies"))
+    )
+    said = based.where(F.size("entities") > 0).select("row.text_key", F.explode("terms").alias("term")).distinct()
+    pairs = written(
+        said.join(known, "term")
+        .join(carried, "text_key")
+        .where("n_term <= most")
+        .groupBy("entity", "term", "n_entity", "n_term", "bits")
+        .agg(F.sum("copies").alias("n_pair"), F.count("*").alias("n_texts")),
+        "pii-pairs",
     )
+    by_chance = F.col("n_entity") * F.col("n_term") / float(max(rows, 1))
+    log_tail = F.col("n_texts") - by_chance + F.col("n_texts") * F.log(by_chance / F.col("n_texts"))
+    level = math.log(alpha) - math.log(max(pairs.count(), 1))
+    real = (F.col("n_texts") >= 2) & (F.col("n_texts") > by_chance) & (log_tail <= level)
+    shared = F.least(F.col("n_pair") / F.col("n_term"), F.lit(1.0))
+    told = pairs.where(real).select("term", (1 + F.log2(shared) / F.col("bits")).alias("disclosure"))
+    told = told.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= generalise_at)
+    return told.withColumn("action", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise"))
 
 
 def personal_data(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    reach: int = 60,
-    min_contexts: int = 3,
     min_bits: float = 6.0,
+    alpha: float = 0.01,
     generalise_at: float = 0.8,
     remove_at: float = 0.95,
 ) -> DataFrame:
-    """One row per document: ``id``, ``body``, ``base`` (its base spans), ``terms`` (its term spans).
+    """One row per document: ``row``, ``id``, ``spans`` (its base spans), ``terms`` (its term spans).
 
-    Base spans are mail addresses, IP addresses, card and phone numbers. Terms are words within
-    ``reach`` code points of a base span whose co-occurrence with the same value, in at least
-    ``min_contexts`` different contexts, discloses at least ``generalise_at`` of it. Copies of a
-    context count once, and values that carry fewer than ``min_bits`` (found in a large share of
-    the documents) are public and disclosed by nothing. Counts cover the whole table.
+    Base spans are mail addresses, IP addresses, card and phone numbers. Terms are words of three
+    letters or more whose co-occurrence with one such value over whole documents discloses at least
+    ``generalise_at`` of it, significantly so at the level ``alpha`` (``disclosures``); each of their
+    occurrences is marked, in documents without the value as well. Values that carry fewer than
+    ``min_bits`` (found in a large share of the documents) are public and disclosed by nothing.
+    Counts cover the whole table.
 
     Null texts are empty and have no spans. Null ids and repeated rows are handled like others:
     rows that repeat id and text get the same spans. Other columns are not read; no rows give no
@@ -165,20 +150,35 @@ def personal_data(
     """
     bodies = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
     row = F.struct("id", F.xxhash64("body").alias("text_key"))
-    found = bodies.select(row.alias("row"), "body", base_spans(F.col("body")).alias("spans"))
-    based = written(found.select("row", "spans"), "pii-base")
-    near = written(contexts(found, reach), "pii-contexts")
-    telling = disclosures(near, bodies, bodies.count(), min_contexts, min_bits, generalise_at, remove_at)
-    terms = (
-        near.select("row", "entity", "term", "start", "stop")
-        .join(telling, ["entity", "term"])
-        .groupBy("row", "start", "stop")
-        .agg(F.max("action").alias("action"))
+    found = bodies.select(row.alias("row"), base_spans(F.col("body")).alias("spans"), terms_of(F.col("body")).alias("terms"))
+    entities = F.array_distinct(F.transform("spans", lambda s: s["entity"]))
+    based = written(found.withColumn("entities", entities), "pii-base")
+    telling = written(disclosures(based, based.count(), min_bits, alpha, generalise_at, remove_at), "pii-terms")
+    marked = (
+        based.select("row", F.explode("terms").alias("term"))
+        .distinct()
+        .join(telling, "term")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "stop", "action"))).alias("terms"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
+    )
+    placed = F.transform(
+        matches(F.col("body"), TERM),
+        lambda m: F.struct(
+            m["start"].alias("start"), m["stop"].alias("stop"), F.element_at("actions", F.lower(m["value"])).alias("action")
+        ),
+    )
+    terms = (
+        bodies.withColumn("row", row)
+        .join(marked, "row")
+        .select("row", F.filter(placed, lambda t: t["action"].isNotNull()).alias("terms"))
+        .dropDuplicates(["row"])
     )
     none = F.array().cast("array<struct<start:int,stop:int,action:string>>")
-    return based.join(terms, "row", "left").select("row", F.col("row.id").alias("id"), "spans", F.coalesce("terms", none).alias("terms"))
+    return (
+        based.select("row", "spans")
+        .join(terms, "row", "left")
+        .select("row", F.col("row.id").alias("id"), "spans", F.coalesce("terms", none).alias("terms"))
+    )
 
 
 def all_spans() -> Column:
@@ -207,7 +207,7 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     term = F.transform(
         "terms", lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop"), F.when(t["action"] == "remove", "").otherwise("[TERM]").alias("label"))
     )
-    found = personal_data(docs, id_col, text_col, **options).where("size(spans) > 0")
+    found = personal_data(docs, id_col, text_col, **options).where("size(spans) + size(terms) > 0")
     found = found.select(F.col("row").alias(row), F.sort_array(F.concat(label, term)).alias(marks)).dropDuplicates([row])
     body = text_or_empty(text_col)
 
