@@ -12,9 +12,10 @@ from tidemark import schemas
 from tidemark.operators.aggregates import message_aggregates
 from tidemark.operators.reconcile import power_energy_reconciliation
 from tidemark.plans.refresh import close_buckets, refresh_range
+from tidemark.sources import inventory
 from tidemark.sources.retention import oldest_day
 from tidemark.sources.store import Store
-from tidemark.streaming.ingest import ingest_batch, start_ingest, start_inventory
+from tidemark.streaming.ingest import ingest_batch, inventory_batch, start_ingest, start_inventory
 
 END = "2024-01-31 00:00:00"
 
@@ -111,3 +112,89 @@ def test_retention_drops_whole_days(spark, tmp_path):
     assert oldest_day("2025-02-28 00:00:00", 12) == "2024-02-28"
     assert oldest_day("2024-02-29 00:00:00", 12) == "2023-02-28"
     assert store.missing_tables(["messages", "sample_edges"]) == ["sample_edges"]
+
+
+def arrivals(spark, *rows):
+    return spark.createDataFrame(rows, "topic string, payload string, at string, metadata string").select(
+        "topic", "payload", F.col("at").cast("timestamp").alias("received_at"), "metadata"
+    )
+
+
+def test_inventory_folds_settled_batches(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+
+    def arrive(stream, epoch, *topics):
+        moment = f"2024-01-0{epoch + 1} 00:00:00"
+        rows = [(t, f"{stream}{epoch}", moment, f'{{"event_id": "{stream}{epoch}"}}') for t in topics]
+        inventory_batch(store, arrivals(spark, *rows), f"{stream}-{epoch:012d}", moment)
+
+    def unread():
+        """Batches that the overview does not read as arrivals."""
+        files = store.topic_overview().inputFiles()
+        return {e for e in range(5) if not any(f"ingest_batch=a-{e:012d}" in f for f in files)}
+
+    for epoch in range(3):
+        arrive("a", epoch, "t/1", "t/1", f"t/{epoch + 2}")
+    arrive("b", 0, "t/1")
+    loaded = store.topic_overview().where("topic = 't/1'").withColumn("last_payload", F.lit("old"))
+    later = loaded.withColumns({"refreshed_at": F.lit("2024-01-09").cast("timestamp"), "message_count": F.lit(10).cast("long")})
+    store.append(later.withColumn("migrated", F.lit("1")), "topic_arrivals", "migration-1-1704700000000000")
+
+    before = contents(store.topic_overview())
+    assert unread() == {3, 4}
+    assert inventory.fold_arrivals(store) == 2
+    assert contents(store.topic_overview()) == before
+    assert unread() == {0, 1, 3, 4}
+    assert inventory.fold_arrivals(store) == 0
+    # The newest batch of a stream may come again; one in a snapshot may not.
+    arrive("a", 2, "t/1", "t/1", "t/4")
+    assert contents(store.topic_overview()) == before
+    with pytest.raises(ValueError):
+        arrive("a", 1, "t/1")
+
+    arrive("a", 3, "t/1")
+    arrive("a", 4, "t/9")
+    row = store.topic_overview().where("topic = 't/1'").first()
+    assert (row.message_count, row.last_payload, row.last_event_id) == (18, "old", "a3")
+    before = contents(store.topic_overview())
+    assert inventory.fold_arrivals(store) == 2
+    assert contents(store.topic_overview()) == before
+    arrive("a", 5, "t/1")
+    assert inventory.fold_arrivals(store) == 1
+    # Folders are bounded: of snapshots two are left, of arrivals those after the marks of the one before.
+    assert len(store.partition_folders("topic_folds", "version", lambda v: True)) == 2
+    left = store.partition_folders("topic_arrivals", "ingest_batch", lambda tag: tag.startswith("a-"))
+    assert [f[-1] for f in left] == ["4", "5"]
+
+
+def test_unfinished_snapshot_does_not_count(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    for epoch in range(2):
+        row = ("t", "x", "2024-01-01", "{}")
+        inventory_batch(store, arrivals(spark, row), f"a-{epoch:012d}", f"2024-01-0{epoch + 1}")
+    add = store.add_partitions
+
+    def stop(df, name):
+        if name == "topic_marks":
+            raise RuntimeError("lost")
+        add(df, name)
+
+    monkeypatch.setattr(store, "add_partitions", stop)
+    with pytest.raises(RuntimeError):
+        inventory.fold_arrivals(store)
+    assert store.topic_overview().first().message_count == 2
+    monkeypatch.undo()
+    assert inventory.fold_arrivals(store) == 1
+    assert store.topic_overview().first().message_count == 2
+
+
+def test_reset_of_a_folded_inventory(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for epoch in range(3):
+        rows = [(t, "x", "2024-01-01", "{}") for t in ("keep", "drop")]
+        inventory_batch(store, arrivals(spark, *rows), f"a-{epoch:012d}", f"2024-01-0{epoch + 1}")
+    assert inventory.fold_arrivals(store) == 2
+    inventory.keep_topics(store, spark.createDataFrame([("keep",)], "topic string"))
+    assert [(r.topic, r.message_count) for r in store.topic_overview().collect()] == [("keep", 3)]
+    inventory.keep_topics(store, spark.createDataFrame([], "topic string"))
+    assert store.topic_overview().count() == 0

@@ -19,6 +19,7 @@ from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators import migration, reports, rules
 from tidemark.plans.refresh import edge_cells, rebuild_edges, refresh_range, update_edges
+from tidemark.sources import inventory
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.store import Store
 
@@ -346,10 +347,7 @@ class Migration:
         # A topic last seen by a migration goes with all of its arrivals.
         overview = self.store.topic_overview()
         kept = migration.without_batch(overview, None, "last_metadata").select("topic")
-        arrivals = self.store.read("topic_arrivals").where(F.col("migrated").isNull())
-        survivors = cut_lineage(arrivals.join(kept, "topic", "left_semi"))
-        self.store.drop_partitions("topic_arrivals", "ingest_batch", lambda tag: False)
-        self.store.replace_partitions(survivors, "topic_arrivals")
+        inventory.keep_topics(self.store, kept)
         for name in ("import_batches", "staged_messages", "staged_topics", "rejected_messages"):
             self.store.drop_partitions(name, "batch_id", lambda batch: False)
 

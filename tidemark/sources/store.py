@@ -14,11 +14,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from tidemark import schemas
 from tidemark.functions import clock, twins
 from tidemark.session import prepare
+from tidemark.sources import inventory
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.retention import RETENTION_MONTHS, oldest_day
 
@@ -35,7 +36,7 @@ class Table:
 
     def full_schema(self) -> StructType:
         have = set(self.schema.fieldNames())
-        kinds = {"width": StringType(), "ingest_batch": StringType(), "due": StringType()}
+        kinds = {p: StringType() for p in ("width", "ingest_batch", "due", "version")}
         added = [
             StructField(p, kinds.get(p, DateType())) for p in self.partitions if p not in have
         ]
@@ -70,6 +71,21 @@ def tables() -> dict[str, Table]:
             {"ingest_batch": None},
         ),
         "topic_arrivals": Table(arrivals, {"ingest_batch": None}),
+        # Snapshots of the inventory, with the times and batches that order arrivals, and their marks.
+        "topic_folds": Table(
+            StructType(
+                [
+                    *arrivals.fields,
+                    StructField("first_refreshed_at", TimestampType()),
+                    StructField("first_batch", StringType()),
+                    StructField("last_batch", StringType()),
+                ]
+            ),
+            {"version": None},
+        ),
+        "topic_marks": Table(
+            StructType([StructField("stream", StringType()), StructField("epoch", StringType())]), {"version": None}
+        ),
         "message_aggregates": Table(
             schemas.AGGREGATE,
             {"width": None, "bucket_date": F.to_date("bucket_start")},
@@ -149,6 +165,10 @@ class Store:
         rows = rows.hint("rebalance", *self.tables[name].partitions)
         self._overwrite_partitions(rows, self.path(name), list(self.tables[name].partitions))
 
+    def add_partitions(self, df: DataFrame, name: str) -> None:
+        """Write rows whose partitions are not there yet."""
+        self._overwrite_partitions(self._shaped(df, name), self.path(name), list(self.tables[name].partitions))
+
     def replace_partitions(self, df: DataFrame, name: str) -> None:
         """Replace the partitions present in ``df``. The rows are written aside
         first, so they may come from the table itself."""
@@ -251,28 +271,5 @@ class Store:
     # --- topic inventory -----------------------------------------------------------
 
     def topic_overview(self) -> DataFrame:
-        """The inventory folded from the arrivals of all batches.
-
-        Counts come from the batches' own rows, so a replayed batch is counted
-        once. Migrated arrivals leave the trace fields alone.
-        """
-        order = F.struct("refreshed_at", "ingest_batch")
-        live = F.when(F.col("migrated").isNull(), order)
-        last = ("last_seen_at", "last_payload", "last_metadata", "refreshed_at")
-        trace = ("last_event_id", "last_trace_id", "last_publisher_id", "last_sequence")
-
-        def newest(names: Sequence[str], by: Column) -> list[Column]:
-            picked = F.max_by(F.struct(*names), by)
-            return [picked[n].alias(n) for n in names]
-
-        folded = (
-            self.read("topic_arrivals")
-            .groupBy("topic")
-            .agg(
-                F.min_by("first_seen_at", order).alias("first_seen_at"),
-                F.sum("message_count").alias("message_count"),
-                *newest(last, order),
-                *newest(trace, live),
-            )
-        )
-        return folded.select(*schemas.TOPIC_OVERVIEW.fieldNames())
+        """One row per topic, folded from the last snapshot and the arrivals after it."""
+        return inventory.topic_overview(self)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import clock
 from tidemark.operators import normalize
 from tidemark.plans.refresh import note_due, refresh_touched, update_edges
+from tidemark.sources import inventory
 from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.store import Store
 
@@ -64,6 +65,7 @@ def inventory_batch(
 
     Messages that cannot be counted go to quarantine.
     """
+    inventory.check_not_folded(store, batch)
     reference = clock.instant_lit(clock.to_us(reference_time))
     stamped = raw if "committed_at" in raw.columns else raw.withColumn("committed_at", reference)
     store.append(
@@ -80,10 +82,18 @@ def start_inventory(
     checkpoint: str,
     name: str = "topics",
     clock_now: Callable[[], datetime] = _now,
+    fold_every: int = 64,
     **trigger,
 ) -> StreamingQuery:
+    """Count the topics of a stream; every ``fold_every`` batches the settled ones are folded.
+
+    A checkpoint begun anew needs a ``name`` of its own.
+    """
+
     def each(raw: DataFrame, epoch: int) -> None:
         inventory_batch(store, raw, f"{name}-{epoch:012d}", clock_now())
+        if (epoch + 1) % fold_every == 0:
+            inventory.fold_arrivals(store)
 
     writer = raw_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
