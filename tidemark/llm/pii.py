@@ -156,8 +156,10 @@ def personal_data(
     telling = written(disclosures(based, based.count(), min_bits, alpha, generalise_at, remove_at), "pii-terms")
     marked = (
         based.select("row", F.explode("terms").alias("term"))
-        .distinct()
         .join(telling, "term")
+        # Repeated rows only, and after the join: few words of a text disclose anything.
+        .select("row", "term", "action")
+        .distinct()
         .groupBy("row")
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
     )
