@@ -169,3 +169,9 @@ def test_only_whole_json_values_are_read(spark):
     (h,) = spark.range(1).select(F.xxhash64(F.lit("1"))).first()
     forged = spark.createDataFrame([(f"1,{h}]",), (f"1,{h}",)], "t string").withColumn("m", parse.json_marked(F.col("t")))
     assert forged.where(parse.json_value(F.col("m"), F.col("t")).isNotNull()).count() == 0
+
+
+def test_inventory_parses_metadata_once(spark, sf):
+    raw = fx.raw_messages(spark, sf)
+    for rows in (normalize.topic_inventory(raw, clock.instant_lit(0)), normalize.quarantined_topics(raw)):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1

@@ -96,22 +96,29 @@ def _text_fields(parsed: DataFrame) -> DataFrame:
     return parsed.select(*carried, F.inline(F.array(fields)))
 
 
+def judged_messages(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every message as ``schemas.MESSAGE`` with ``keep`` and ``reject_reason``, NULL where it can be typed."""
+    return _decoded(raw).select(*schemas.MESSAGE.fieldNames(), *keep, "reject_reason")
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def quarantined(judged: DataFrame) -> DataFrame:
+    rejected = judged.where(F.col("reject_reason").isNotNull())
+    return rejected.select("topic", "payload", "received_at", "metadata", "reject_reason")
+
+
 def normalize_messages(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed messages (``schemas.MESSAGE``); ``keep`` adds working columns such
     as ``topic_kind`` or ``value_text``."""
-    decoded = _decoded(raw)
-    return decoded.where(F.col("reject_reason").isNull()).select(
-        *schemas.MESSAGE.fieldNames(), *keep
-    )
+    return accepted(judged_messages(raw, keep))
 
 
 def quarantined_messages(raw: DataFrame) -> DataFrame:
     """Messages whose metadata cannot be typed, with the reason."""
-    return (
-        _decoded(raw)
-        .where(F.col("reject_reason").isNotNull())
-        .select("topic", "payload", "received_at", "metadata", "reject_reason")
-    )
+    return quarantined(judged_messages(raw))
 
 
 def relay_events(messages: DataFrame) -> DataFrame:
@@ -192,22 +199,28 @@ def _inventory_fields(raw: DataFrame) -> DataFrame:
     parsed = text.withColumn("_meta", parse.json_marked(F.col("metadata"))).withColumn(
         "_meta", parse.json_value(F.col("_meta"), F.col("metadata"))
     )
+    meta = F.col("_meta")
 
     def field(name: str) -> Column:
-        return parse.object_field(F.col("_meta"), name)
+        return parse.object_field(meta, name)
 
-    sequence_text = F.nullif(field("sequence"), F.lit(""))
-    return parsed.withColumns(
+    # Out of an ``inline`` as in _text_fields: a filter above does not parse again.
+    fields = F.struct(
+        meta.isNull().alias("_meta_broken"),
+        *[field(name).alias(f"_{name}") for name in ("event_id", "trace_id", "publisher_id")],
+        F.nullif(field("sequence"), F.lit("")).alias("_sequence_text"),
+    )
+    carried = [F.col(f"`{c}`") for c in parsed.columns if c != "_meta"]
+    plain = parsed.select(*carried, F.inline(F.array(fields)))
+    sequence_text = F.col("_sequence_text")
+    return plain.withColumns(
         {
-            "_event_id": field("event_id"),
-            "_trace_id": field("trace_id"),
-            "_publisher_id": field("publisher_id"),
             "_sequence": parse.whole_number(sequence_text),
-            "_malformed": F.when(F.col("_meta").isNull(), "malformed metadata").when(
+            "_malformed": F.when(F.col("_meta_broken"), "malformed metadata").when(
                 sequence_text.isNotNull() & parse.whole_number(sequence_text).isNull(), "malformed metadata sequence"
             ),
         }
-    )
+    ).drop("_meta_broken", "_sequence_text")
 
 
 def merge_topic_inventory(existing: DataFrame, arrived: DataFrame) -> DataFrame:
