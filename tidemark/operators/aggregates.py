@@ -342,6 +342,9 @@ def message_aggregates_by_width(
     for i, window in enumerate(order):
         if i:
             buckets = fold(buckets, window.width_us, widths_us[i:])
+            if i + 1 < len(order):
+                # The next width reads it as well and does not fold it anew.
+                buckets = cut_lineage(buckets)
         parts.append(within(buckets.select("*", *pct.named(window.width_us)), window).drop(*gone))
     together = reduce(DataFrame.unionByName, parts)
     return aggregate_buckets(together, context, order[0], "width_us", refreshed_at)

@@ -229,6 +229,8 @@ def reconciliation_by_width(
     for i, window in enumerate(order):
         if i:
             buckets = fold(buckets, window.width_us)
+            if i + 1 < len(order):
+                buckets = cut_lineage(buckets)
         parts.append(within(buckets, window))
     together = reduce(DataFrame.unionByName, parts)
     return reconcile_buckets(together, context, order[0], "width_us", refreshed_at)

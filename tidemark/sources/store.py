@@ -20,7 +20,6 @@ from tidemark import schemas
 from tidemark.functions import clock, twins
 from tidemark.session import prepare
 from tidemark.sources import inventory
-from tidemark.sources.checkpoints import cut_lineage
 from tidemark.sources.retention import RETENTION_MONTHS, oldest_day
 
 
@@ -175,31 +174,44 @@ class Store:
         table = self.tables[name]
         aside = f"{self.root}/_aside/{name}-{uuid.uuid4().hex}"
         self._shaped(df, name).write.parquet(aside)
-        rows = self.spark.read.schema(table.full_schema()).parquet(aside)
+        self._place(self.spark.read.schema(table.full_schema()).parquet(aside), name)
+        self._remove(aside)
+
+    def _place(self, rows: DataFrame, name: str) -> None:
+        """Replace the partitions present in shaped rows that lie aside."""
+        table = self.tables[name]
         if table.partitions:
             # Few files per small partition; AQE splits the large ones over tasks.
             rows = rows.hint("rebalance", *table.partitions)
         self._overwrite_partitions(rows, self.path(name), list(table.partitions))
-        self._remove(aside)
 
     def upsert(self, df: DataFrame, name: str) -> None:
         """Insert rows, replacing those with the same key. Only the partitions of
         the new rows are read and rewritten."""
         table = self.tables[name]
-        new = cut_lineage(self._shaped(df, name))
-        old = self.read(name)
+        aside = f"{self.root}/_aside/{name}-{uuid.uuid4().hex}"
+        # Each row is written aside once: the new ones, then the old ones that stay.
+        self._shaped(df, name).write.parquet(f"{aside}/new")
+        found = self.spark.read.schema(table.full_schema())
+        new, parts = found.parquet(f"{aside}/new"), [f"{aside}/new"]
+        old = self.read(name, twin_keys=True)
         if table.partitions:
             # One row per width and day: a calendar-bounded list.
             touched = new.select(*table.partitions).distinct()
             places = [row.asDict() for row in touched.collect()]
             if not places:
+                self._remove(aside)
                 return
             for p in table.partitions:
                 values = list({place[p] for place in places})
                 old = old.where(F.col(p).isin(values))
             old = old.join(F.broadcast(touched), list(table.partitions), "left_semi")
-        kept = old.join(new.select(*table.keys), list(table.keys), "left_anti")
-        self.replace_partitions(kept.unionByName(new), name)
+        if self.exists(name):
+            kept = old.join(new.select(*table.keys), list(table.keys), "left_anti")
+            kept.select(*new.columns).write.parquet(f"{aside}/kept")
+            parts.append(f"{aside}/kept")
+        self._place(found.parquet(*parts), name)
+        self._remove(aside)
 
     # --- folders of partitions -----------------------------------------------------
 

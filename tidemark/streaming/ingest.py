@@ -31,11 +31,12 @@ def ingest_batch(
     """
     reference = clock.instant_lit(clock.to_us(reference_time))
     stamped = raw if "committed_at" in raw.columns else raw.withColumn("committed_at", reference)
-    typed = cut_lineage(normalize.normalize_messages(stamped, ("topic_kind", "value_text")))
+    judged = cut_lineage(normalize.judged_messages(stamped, ("topic_kind", "value_text")))
+    typed = normalize.accepted(judged)
     relay = cut_lineage(normalize.relay_events(typed))
     store.append(typed.drop("topic_kind", "value_text"), "messages", batch)
     store.append(relay, "relay_state_events", batch)
-    store.append(normalize.quarantined_messages(stamped), "quarantined_messages", batch)
+    store.append(normalize.quarantined(judged), "quarantined_messages", batch)
     note_due(store, typed, relay, batch, reference_time)
     update_edges(store, typed, relay)
     refresh_touched(store, typed, relay, reference_time)
