@@ -120,3 +120,15 @@ def test_ledger_is_drained_by_minute(spark, tmp_path):
     assert {s for m in ("power", "relay_state") for _, s in status(m)} == {"aggregated"}
     devices = store.read("power_energy_reconciliation")
     assert devices.where("status = 'tba'").count() == 0 < devices.count()
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    appended, real = [], Store.append
+
+    def run(self, df, *args):
+        appended.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(self, df, *args)
+
+    monkeypatch.setattr(Store, "append", run)
+    ingest_batch(Store(spark, str(tmp_path / "s")), raw(spark, [("sensors/a/power", "1", 1)]), "one", "2024-03-02 00:00:00")
+    assert len(appended) > 2 and not any("parseJson" in plan for plan in appended)
