@@ -280,3 +280,24 @@ def test_p_values_of_known_strings(spark):
     assert ordered.p_uniform > 0.99 and ordered.p_serial < 0.001 and ordered.p_runs < 0.01
     assert constant.p_uniform < 1e-6
     assert min(mixed.p_uniform, mixed.p_runs, mixed.p_serial) > 0.05
+
+
+def test_no_word_of_prose_is_left_out_of_the_null(spark):
+    random.seed(3)
+    words = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=random.randrange(5, 12))) for _ in range(1500)]
+    rows = spark.createDataFrame([(" of ".join(words),)], "t string")
+    (found,) = rows.select(secrets.prose_runs(F.col("t"), secrets.STRETCH, len(secrets.BLOCKS)).alias("p")).first()
+    letters = "".join(words)
+    seen = [False] * len(letters)
+    # Letters written in hexadecimal digits cannot be told from the number.
+    for r in found:
+        part = re.sub("[^a-z]", "", r.token.lower())
+        if r.encoding != "HEX" and part in letters:
+            at = letters.index(part)
+            seen[at : at + len(part)] = [True] * len(part)
+    hidden = sum(len(r.token) for r in found if r.encoding == "HEX")
+    assert {r.encoding for r in found} == set(secrets.NULL_ALPHABETS)
+    assert {len(r.token) for r in found} == set(secrets.CLASS_LENGTHS)
+    assert seen.count(False) <= 0.8 * hidden
+    bodies = rows.select(F.col("t").alias("body"))
+    assert secrets.prose_scores(bodies.union(bodies)).agg(F.sum("prose")).first()[0] == len({(r.encoding, r.token) for r in found})
