@@ -158,3 +158,24 @@ def test_lines_are_cut_from_the_text(spark):
     assert left.columns == docs.columns and left.count() == docs.count()
     assert cases.of(left.where("doc_id = 13"), "text") == [("same line of five words",)]
     assert cases.of(left.where("doc_id = 3"), "text") == [(None,)]
+
+
+def test_lines_a_word_or_character_apart_share_a_half(spark):
+    pairs = [
+        ("the cat sat on the mat", "the cat sat on the old mat", True),
+        ("the cat sat on the mat", "one cat sat on the mat", True),
+        ("the cat sat on the red mat", "the cat on the red mat", True),
+        ("abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxy", False),
+        ("äöü漢字abcdefghijklmnopqr", "xäöü漢字abcdefghijklmnopqr", False),
+    ]
+    rows = spark.createDataFrame(pairs, "a string, b string, w boolean")
+
+    def keys(name):
+        size = F.when(F.col("w"), F.size(F.split(name, " "))).otherwise(F.length(name))
+        return line_dedup._half_keys(F.col(name), F.col("w"), size)
+
+    shared = rows.select(F.size(F.array_intersect(keys("a"), keys("b"))).alias("n"))
+    assert all(r.n >= 1 for r in shared.collect())
+    # No function of arrays, which would be interpreted line by line.
+    plan = rows.select(keys("a"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array_join" not in plan

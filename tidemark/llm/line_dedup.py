@@ -21,47 +21,52 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row``, ``at``, ``line`` (its words, one space apart) and ``key`` (a hash) of each line with a word."""
     body = text_or_empty(text_col)
     even = F.split(F.regexp_replace(body, _UNEVEN, " "), "\n")
-    split = F.transform(even, lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("line")))
-    # Blank lines are left out before the rows are made: a filter behind would do all this again.
-    worded = F.filter(split, lambda x: x["line"] != "")
     row = F.struct(F.col(id_col).alias("id"), F.xxhash64(body).alias("text_key"))
     return (
-        docs.select(row.alias("row"), F.explode(worded).alias("line"))
-        .select("row", "line.at", "line.line")
+        docs.select(row.alias("row"), F.posexplode(even).alias("at", "line"))
+        # The words' own hash is behind the filter, which repeats no more than the trimming.
+        .withColumn("line", F.trim("line"))
+        .where(F.col("line") != "")
         .withColumn("key", F.xxhash64("line"))
     )
 
 
+def _spaces(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+
+
 def _by_words(line: Column, min_words: int) -> Column:
     """Whether a line is compared by words; one of fewer words is by characters."""
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= min_words - 1
+    return _spaces(line) >= min_words - 1
 
 
 def _tokens(line: Column, worded: Column) -> Column:
     return F.when(worded, F.split(line, " ")).otherwise(F.split(line, ""))
 
 
-def _half_keys(words: Column, worded: Column) -> Column:
-    """(``ahead``, ``half``): hashes of the first and last halves, as lines a word apart agree in one.
+def _half_keys(line: Column, worded: Column, n: Column) -> Column:
+    """(``ahead``, ``half``): hashes of the first and last halves of ``n`` words, as lines a word apart agree in one.
 
     A half has as many words as half of the shorter line, so each line has those for being
-    the shorter and for being the longer one.
+    the shorter and for being the longer one. Halves are cut out of the line as they are; the
+    arguments are columns of their own, as functions of arrays would leave generated code.
     """
 
-    def halves(n: Column) -> Column:
-        # Joined first: hashing one text is cheaper than hashing its words.
-        first = F.xxhash64(F.lit(0), worded, n, F.array_join(F.slice(words, 1, n), " "))
-        last = F.xxhash64(F.lit(1), worded, n, F.array_join(F.slice(words, -n, n), " "))
-        return F.array(
+    def halves(n: Column) -> list[Column]:
+        def part(m: Column, chars: Column) -> Column:
+            return F.when(worded, F.call_function("substring_index", line, F.lit(" "), m)).otherwise(chars)
+
+        first = F.xxhash64(F.lit(0), worded, n, part(n, F.left(line, n)))
+        last = F.xxhash64(F.lit(1), worded, n, part(-n, F.right(line, n)))
+        return [
             F.struct(F.lit(True).alias("ahead"), first.alias("half")),
             F.struct(F.lit(False).alias("ahead"), last.alias("half")),
-        )
+        ]
 
-    n = F.size(words)
     longer = F.floor(n / 2).cast("int")
     # For an odd number of words the two are the same.
-    both = F.concat(bind(longer, halves), bind(longer - 1, halves))
-    return F.when((n % 2 == 0) & (n > 2), both).otherwise(bind(longer, halves))
+    both = F.array(*halves(longer), *halves(longer - 1))
+    return F.when((n % 2 == 0) & (n > 2), both).otherwise(F.array(*halves(longer)))
 
 
 def _places(low: Column, middle: Column, high: Column, ahead: Column, behind: Column) -> Column:
@@ -139,9 +144,11 @@ def repeated_lines(
     if min_words < 2 or min_chars < 2:
         raise ValueError("lines of one word or character have no halves")
     worded = _by_words(F.col("line"), min_words)
-    halves_of = bind(worded, lambda w: bind(_tokens(F.col("line"), w), lambda t: _half_keys(t, w)))
-    eligible = worded | (F.length("line") >= min_chars)
-    lines = _lines(docs, id_col, text_col)
+    lines = _lines(docs, id_col, text_col).withColumn("spaces", _spaces(F.col("line")))
+    lines = lines.withColumn("worded", F.col("spaces") >= min_words - 1)
+    lines = lines.withColumn("size", F.when(F.col("worded"), F.col("spaces") + 1).otherwise(F.length("line")))
+    eligible = F.col("worded") | (F.col("size") >= min_chars)
+    halves_of = _half_keys(F.col("line"), F.col("worded"), F.col("size"))
     place = F.struct(F.col("row.id").alias("id"), "at")
     keyed = written(
         lines.select(
