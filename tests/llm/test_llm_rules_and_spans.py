@@ -301,3 +301,22 @@ def test_no_word_of_prose_is_left_out_of_the_null(spark):
     assert seen.count(False) <= 0.8 * hidden
     bodies = rows.select(F.col("t").alias("body"))
     assert secrets.prose_scores(bodies.union(bodies)).agg(F.sum("prose")).first()[0] == len({(r.encoding, r.token) for r in found})
+
+
+def test_a_run_in_the_lowest_step_is_put_to_no_other_test(spark):
+    rows = spark.createDataFrame([(0.001, 0.5), (0.5, 0.2), (None, 0.1), (0.5, None)], "p double, q double")
+    step = secrets.least_step(F.col("p"), F.when(F.col("p") < 0.01, F.raise_error(F.lit("tested"))).otherwise(F.col("q")))
+    assert [r.s for r in rows.select(step.alias("s")).collect()] == [0, 120, 60, 200]
+
+
+def test_steps_of_runs_are_those_of_all_three_tests(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    found = docs.select(F.explode(secrets.prose_runs(F.coalesce("text", F.lit("")), secrets.STRETCH, len(secrets.BLOCKS))).alias("p"))
+    # Only a run in all symbols of its alphabet is sure to be of the encoding inferred.
+    tested = found.select("p.*", secrets.battery(F.col("p.token")).alias("t")).where("encoding = t.encoding")
+    least = F.least("t.p_uniform", "t.p_runs", "t.p_serial")
+    want = F.floor(F.least(3 * least, F.lit(1.0)) * 200)
+    got = tested.select(want.alias("want"), secrets.step_of(F.col("token"), F.col("encoding")).alias("got"), "encoding")
+    assert got.where("NOT want <=> got").count() == 0
+    assert got.where("want = 0").count() > 100 and got.where("want > 0").count() > 100
+    assert got.select("encoding").distinct().count() >= 4

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -154,7 +155,8 @@ def prose_runs(body: Column, stretch: int = 512, blocks: int = 1) -> Column:
     def named(run: Column, part: Column, h: Column) -> Column:
         digits = run["n"] - run["letters"]
         chosen = F.element_at(F.array(*map(F.lit, NULL_ALPHABETS)), F.pmod(h, F.lit(len(NULL_ALPHABETS))).cast("int") + 1)
-        some = F.ltrim(F.substring(part, run["start"] + 1, run["letters"] + ROOM // 2))
+        # One space at most after five letters, and one ahead.
+        some = F.ltrim(F.substring(part, run["start"] + 1, F.floor(run["letters"] * 1.2).cast("int") + 2).cast("string"))
 
         def written_in(encoding: Column, ahead: Column) -> Column:
             joined = F.substring(F.replace(some, F.lit(" "), _looked_up(encoding, NULL_ALPHABETS)), F.lit(1), run["letters"])
@@ -191,9 +193,13 @@ def prose_runs(body: Column, stretch: int = 512, blocks: int = 1) -> Column:
                 runs = F.filter(runs, lambda r: (r["start"] + i * stretch < size) & (r["letters"] <= size))
                 # Neighbours in a block are written in different alphabets.
                 turn = F.shiftright(h, 2)
-                return F.transform(
-                    runs,
-                    lambda r: bind(_spread(turn, r["nth"]), lambda x: named(r, part, x)),
+                # Letters and spaces are bytes, which are found without counting from the beginning.
+                return bind(
+                    part.cast("binary"),
+                    lambda octets: F.transform(
+                        runs,
+                        lambda r: bind(_spread(turn, r["nth"]), lambda x: named(r, octets, x)),
+                    ),
                 )
 
             return bind(F.xxhash64(part), of)
@@ -205,10 +211,11 @@ def prose_runs(body: Column, stretch: int = 512, blocks: int = 1) -> Column:
     return bind(F.array_join(found, " "), lambda words: bind(F.length(words), lambda size: cut(words, size)))
 
 
-def uniformity(bare: Column, chars: Column, size: Column, n: Column) -> Column:
+def uniformity(chars: Column, size: Column, n: Column) -> Column:
     """p-value of the chi-squared statistic of symbol counts (Wilson-Hilferty approximation)."""
-    counts = F.transform(F.array_distinct(chars), lambda c: n - F.length(F.replace(bare, c, F.lit(""))))
-    squares = F.aggregate(counts, F.lit(0.0), lambda s, c: s + c * c)
+    # Sorted, equal symbols stand together: one pass instead of one for each symbol.
+    alike = F.regexp_extract_all(F.array_join(F.sort_array(chars), ""), F.lit(r"(?s)(.)\1*+"), F.lit(0))
+    squares = F.aggregate(alike, F.lit(0.0), lambda s, c: s + F.length(c) * F.length(c))
     freedom = (size - 1).cast("double")
     chi = squares * size / n - n
     spread = 2 / (9 * freedom)
@@ -260,47 +267,95 @@ def serial_correlation(codes: Column, n: Column) -> Column:
     return bind(sums, lambda of: bind(of["total"] / n, lambda mean: test(of, mean)))
 
 
-def battery(token: Column, encoding: Column | None = None) -> Column:
-    """The encoding of a token and the three p-values of its symbols being random and independent.
+def _tested(bare: Column, known: Column, body: Callable[..., Column]) -> Column:
+    """``body`` of the encoding of a token without padding and its p-values: uniformity, runs, serial correlation."""
 
-    The encoding is inferred where none is given.
-    """
-
-    def tests(bare: Column, chars: Column, name: Column, symbols: Column, size: Column, n: Column) -> Column:
+    def tests(chars: Column, name: Column, bare: Column, symbols: Column, size: Column, n: Column) -> Column:
         codes = F.transform(chars, lambda ch: F.instr(symbols, ch) - 1)
-        return F.struct(
-            name.alias("encoding"),
-            uniformity(bare, chars, size, n).alias("p_uniform"),
-            bind(_in_halves(bare, name), lambda halves: runs(halves, n)).alias("p_runs"),
-            bind(codes, lambda c: serial_correlation(c, n)).alias("p_serial"),
+        return body(
+            name,
+            uniformity(chars, size, n),
+            bind(_in_halves(bare, name), lambda halves: runs(halves, n)),
+            bind(codes, lambda c: serial_correlation(c, n)),
         )
 
     def coded(bare: Column, name: Column, symbols: Column) -> Column:
         sizes = F.struct(F.length(symbols).alias("size"), F.length(bare).cast("double").alias("n"))
         return bind(
             F.split(bare, ""),
-            lambda chars: bind(sizes, lambda of: tests(bare, chars, name, symbols, of["size"], of["n"])),
+            lambda chars: bind(sizes, lambda of: tests(chars, name, bare, symbols, of["size"], of["n"])),
         )
 
-    def named(bare: Column) -> Column:
-        known = _alphabet(bare) if encoding is None else F.coalesce(encoding, _alphabet(bare))
-        return bind(known, lambda name: bind(_looked_up(name, SYMBOLS), lambda symbols: coded(bare, name, symbols)))
+    return bind(known, lambda name: bind(_looked_up(name, SYMBOLS), lambda symbols: coded(bare, name, symbols)))
+
+
+def battery(token: Column) -> Column:
+    """The inferred encoding of a token and the three p-values of its symbols being random and independent."""
+
+    def every(name: Column, uniform: Column, of_runs: Column, serial: Column) -> Column:
+        return F.struct(
+            name.alias("encoding"), uniform.alias("p_uniform"), of_runs.alias("p_runs"), serial.alias("p_serial")
+        )
+
+    return bind(F.regexp_replace(token, "=+$", ""), lambda bare: _tested(bare, _alphabet(bare), every))
+
+
+def _score(p: Column) -> Column:
+    """The score of a token whose least p-value is ``p``."""
+    return F.least(3 * p, F.lit(1.0))
+
+
+def _step(score: Column) -> Column:
+    """Scores in a fixed number of steps keep the tables of counts at a bounded size."""
+    return F.floor(score * 200).cast("int")
+
+
+def least_step(*p_values: Column) -> Column:
+    """The step of the least of some p-values. None is computed behind one in the lowest step, as it could not lower that."""
 
-    return bind(F.regexp_replace(token, "=+$", ""), named)
+    def least(p: Column, rest: tuple[Column, ...]) -> Column:
+        if not rest:
+            return _step(_score(p))
+        return F.when(_step(_score(p)) == 0, 0).otherwise(bind(rest[0], lambda q: least(F.least(p, q), rest[1:])))
+
+    return bind(p_values[0], lambda p: least(p, p_values[1:]))
+
+
+# Null alphabets in which letters and digits lie in different halves, so that a number between words shows in the runs.
+_SPLIT = ("base62", "any")
+
+
+def step_of(token: Column, encoding: Column) -> Column:
+    """The step of the score of a token of known encoding, without padding.
+
+    The test that most often fails in its alphabet comes first.
+    """
+
+    def ordered(name: Column, uniform: Column, of_runs: Column, serial: Column) -> Column:
+        split = name.isin(*_SPLIT)
+        return F.when(split, least_step(of_runs, uniform, serial)).otherwise(least_step(uniform, of_runs, serial))
+
+    return _tested(token, encoding, ordered)
+
+
+def _null_alphabet(encoding: Column) -> Column:
+    return F.coalesce(_looked_up(encoding, NULL_OF), encoding)
+
+
+def _length_class(token: Column) -> Column:
+    return sum(((F.length(token) >= n).cast("int") for n in CLASS_LENGTHS), F.lit(0))
 
 
 def _scored(tokens: DataFrame) -> DataFrame:
-    """``token`` and ``encoding`` (null: to be inferred) with ``null_alphabet``, ``score``, ``length_class`` and ``step``."""
-    least = F.least("t.p_uniform", "t.p_runs", "t.p_serial")
-    scored = tokens.withColumn("t", battery(F.col("token"), F.col("encoding"))).select(
+    """The ``token`` with ``encoding``, ``null_alphabet``, ``score``, ``length_class`` and ``step``."""
+    scored = tokens.withColumn("t", battery(F.col("token"))).select(
         "token",
         F.col("t.encoding").alias("encoding"),
-        F.coalesce(_looked_up(F.col("t.encoding"), NULL_OF), "t.encoding").alias("null_alphabet"),
-        F.least(3 * least, F.lit(1.0)).alias("score"),
-        sum(((F.length("token") >= n).cast("int") for n in CLASS_LENGTHS), F.lit(0)).alias("length_class"),
+        _null_alphabet(F.col("t.encoding")).alias("null_alphabet"),
+        _score(F.least("t.p_uniform", "t.p_runs", "t.p_serial")).alias("score"),
+        _length_class(F.col("token")).alias("length_class"),
     )
-    # Scores in a fixed number of steps keep the tables below at a bounded size.
-    return scored.withColumn("step", F.floor(F.col("score") * 200).cast("int"))
+    return scored.withColumn("step", _step(F.col("score")))
 
 
 def prose_scores(bodies: DataFrame) -> DataFrame:
@@ -310,8 +365,13 @@ def prose_scores(bodies: DataFrame) -> DataFrame:
     """
     names = bodies.select(F.explode(prose_runs(F.col("body"), STRETCH, len(BLOCKS))).alias("p"))
     cell = ("length_class", "null_alphabet", "step")
-    scored = _scored(names.select("p.token", "p.encoding"))
-    different = scored.select(F.xxhash64("token", "encoding").alias("key"), *cell).distinct()
+    scored = names.select(
+        F.xxhash64("p.token", "p.encoding").alias("key"),
+        _length_class(F.col("p.token")).alias("length_class"),
+        _null_alphabet(F.col("p.encoding")).alias("null_alphabet"),
+        step_of(F.col("p.token"), F.col("p.encoding")).alias("step"),
+    )
+    different = scored.distinct()
     return written(different.groupBy(*cell).agg(F.count("*").alias("prose")), "secret-null")
 
 
@@ -325,7 +385,7 @@ def judged(tokens: DataFrame, null: DataFrame, rate: float, min_p: float, parts:
     with as small a chance (Benjamini and Hochberg); the number of ordinary tokens is estimated from
     those with a chance above one half (Storey).
     """
-    asked = tokens.groupBy("token").agg(F.lit(None).cast("string").alias("encoding"))
+    asked = tokens.select("token").distinct()
     # Tokens are few bytes but much work: their tasks are cut by number, not by bytes.
     scored = written(_scored(asked.repartition(parts, "token")), "secret-scores")
     counts = scored.groupBy("length_class", "null_alphabet", "step").agg(F.count("*").alias("tokens"))
