@@ -199,3 +199,27 @@ def test_rows_without_keys_are_twins_by_what_they_hold(spark, tmp_path):
     df.where("payload >= 'c'").write.mode("append").parquet(str(tmp_path / "k"))
     mixed = spark.read.schema(with_keys.schema).parquet(str(tmp_path / "k"))
     assert sorted(map(tuple, twins.stored_keys(mixed, "received_at").collect())) == keys
+
+
+def test_rows_from_elsewhere_are_written_once(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    runner = Migration(store, {"public.mqtt_power": _power(spark, (3, 4))}.get)
+    runner.import_rules(_rule(spark))
+    twice = []
+    replace = Store.replace_partitions
+    monkeypatch.setattr(Store, "replace_partitions", lambda self, df, name: (twice.append(name), replace(self, df, name)))
+    batch = runner.create_batch("dump", NOW)
+    runner.stage(batch, NOW)
+    assert not twice and store.read("staged_messages").count() == _power(spark, (3, 4)).count()
+    runner.apply(batch, NOW)
+    # Mapped rows come from the table itself.
+    assert "rejected_messages" not in twice and "staged_messages" in twice
+
+
+def test_what_a_load_writes_aside_goes_with_it(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    with store.aside(_power(spark, (3,))) as rows:
+        assert contents(rows) == contents(_power(spark, (3,))) and list((tmp_path / "_aside").iterdir())
+    with pytest.raises(RuntimeError), store.aside(_power(spark, (3,))):
+        raise RuntimeError
+    assert not list((tmp_path / "_aside").iterdir())

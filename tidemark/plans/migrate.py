@@ -123,15 +123,13 @@ class Migration:
                 parts.append(migration.stage_table(source, batch_id, name, from_time, to_time))
         self.store.drop_partitions("staged_messages", "batch_id", lambda b: b != str(batch_id))
         if parts:
-            self.store.replace_partitions(reduce(DataFrame.unionByName, parts), "staged_messages")
+            self.store.put_partitions(reduce(DataFrame.unionByName, parts), "staged_messages")
         snapshot = self.legacy(schemas.LEGACY_TOPICS) if include_topics else None
         if include_topics:
             self.store.drop_partitions("staged_topics", "batch_id", lambda b: b != str(batch_id))
         if snapshot is not None:
             position = "position" if "position" in snapshot.columns else None
-            self.store.replace_partitions(
-                migration.stage_topics(snapshot, batch_id, position), "staged_topics"
-            )
+            self.store.put_partitions(migration.stage_topics(snapshot, batch_id, position), "staged_topics")
         self._recount(batch_id, "staged", now, "staged_row_count", "source_min_at", "source_max_at")
         messages, topics = self._staged(batch_id)
         per_table = messages.groupBy("source_table").agg(F.count(F.lit(1)).alias("row_count"))
@@ -152,7 +150,7 @@ class Migration:
         self.store.replace_partitions(migration.apply_rules(topics, known), "staged_topics")
         messages, topics = self._staged(batch_id)
         self.store.drop_partitions("rejected_messages", "batch_id", lambda b: b != str(batch_id))
-        self.store.replace_partitions(migration.rejects(messages, topics), "rejected_messages")
+        self.store.put_partitions(migration.rejects(messages, topics), "rejected_messages")
         self._recount(batch_id, "mapped", now, "mapped_row_count", "skipped_row_count")
         return migration.status_report(messages, topics)
 
@@ -199,23 +197,24 @@ class Migration:
                 self.store.drop_partitions(name, "ingest_batch", lambda t: t != tag)
         existing = self._loaded_near("messages", "received_date", ready, tag)
         known = self._loaded_near("relay_state_events", "event_date", ready, tag)
-        new = cut_lineage(migration.message_candidates(ready, existing))
-        events = cut_lineage(migration.relay_candidates(ready, known))
-        messages = migration.to_messages(new, at)
-        relay = migration.to_relay_events(events, at)
-        self.store.append(messages, "messages", tag)
-        self.store.append(relay, "relay_state_events", tag)
-        if again:
-            rebuild_edges(self.store, *edge_cells(messages, relay))
-        else:
-            update_edges(self.store, messages, relay)
-        done = migration.mark_inserted(staged, new, "staged_message_id", at)
-        self.store.replace_partitions(
-            migration.mark_relay_inserted(done, events), "staged_messages"
-        )
-        self._recount(batch_id, "loaded", now, "inserted_row_count")
-        self._note(batch_id, {k: v for k, v in self._notes(batch_id).items() if k != _OPEN_LOAD}, now)
-        return new.count(), relay.count()
+        fresh = migration.message_candidates(ready, existing)
+        owed = migration.relay_candidates(ready, known)
+        with self.store.aside(fresh) as new, self.store.aside(owed) as events:
+            messages = migration.to_messages(new, at)
+            relay = migration.to_relay_events(events, at)
+            self.store.append(messages, "messages", tag)
+            self.store.append(relay, "relay_state_events", tag)
+            if again:
+                rebuild_edges(self.store, *edge_cells(messages, relay))
+            else:
+                update_edges(self.store, messages, relay)
+            done = migration.mark_inserted(staged, new, "staged_message_id", at)
+            self.store.replace_partitions(
+                migration.mark_relay_inserted(done, events), "staged_messages"
+            )
+            self._recount(batch_id, "loaded", now, "inserted_row_count")
+            self._note(batch_id, {k: v for k, v in self._notes(batch_id).items() if k != _OPEN_LOAD}, now)
+            return new.count(), relay.count()
 
     def load_topics(self, batch_id: int, now: datetime | str) -> int:
         """Record the mapped topic snapshot in the inventory."""

@@ -8,7 +8,8 @@ partitioned by width and bucket day and written by upsert.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -177,8 +178,22 @@ class Store:
         self._place(self.spark.read.schema(table.full_schema()).parquet(aside), name)
         self._remove(aside)
 
+    def put_partitions(self, df: DataFrame, name: str) -> None:
+        """Replace the partitions present in ``df``, whose rows come from elsewhere, in one write."""
+        self._place(self._shaped(df, name), name)
+
+    @contextmanager
+    def aside(self, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows as a table of their own while the block runs: computed once, read by column."""
+        path = f"{self.root}/_aside/rows-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        try:
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            self._remove(path)
+
     def _place(self, rows: DataFrame, name: str) -> None:
-        """Replace the partitions present in shaped rows that lie aside."""
+        """Replace the partitions present in shaped rows that do not lie in the table."""
         table = self.tables[name]
         if table.partitions:
             # Few files per small partition; AQE splits the large ones over tasks.
