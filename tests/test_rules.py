@@ -81,6 +81,14 @@ def test_first_matching_rule(spark):
     assert got == {k: v for k, v in EXPECTED.items() if v}
 
 
+def test_rules_are_not_broadcast(spark, tmp_path):
+    # The size of a stored table is estimated without the copies for the salts.
+    spark.createDataFrame(MATCHING, schemas.TOPIC_RULE).write.parquet(str(tmp_path / "rules"))
+    topics = spark.createDataFrame(list(EXPECTED), "source_table string, source_topic string")
+    found = rules.first_matching_rules(topics, spark.read.parquet(str(tmp_path / "rules")))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_strict_prefix(spark):
     topics = spark.createDataFrame([("t1", "abc/1"), ("t1", "a_c/1")], "source_table string, source_topic string")
     rule = spark.createDataFrame(MATCHING[:1], schemas.TOPIC_RULE)

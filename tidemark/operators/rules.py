@@ -293,7 +293,9 @@ def first_matching_rules(
     (priority, mapping_id), as ``mapping_id``, ``mapped_topic``, ``mapped_kind``.
 
     Runs on distinct topics. A rule is joined by equality on the leading segments
-    its pattern fixes, salted; only those candidates are tested against the pattern.
+    its pattern fixes, salted; only those candidates are tested against the pattern. The join is
+    always dealt by key: sizes are estimated without the copies for the salts, so a table of rules
+    that looks small enough to broadcast need not fit the driver.
     """
     distinct = topics.select("source_table", "source_topic").distinct()
     parts = F.split("source_topic", "/", -1)
@@ -309,7 +311,7 @@ def first_matching_rules(
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_ANCHOR_SALTS - 1))))
         .drop("notes")
     )
-    candidates = placed.join(usable, ["anchor", "salt"]).where(
+    candidates = placed.join(usable.hint("merge"), ["anchor", "salt"]).where(
         (F.col("rule_table").isNull() | (F.col("rule_table") == F.col("source_table")))
         & _matches(strict_prefix)
     )
