@@ -175,3 +175,30 @@ def test_inventory_parses_metadata_once(spark, sf):
     raw = fx.raw_messages(spark, sf)
     for rows in (normalize.topic_inventory(raw, clock.instant_lit(0)), normalize.quarantined_topics(raw)):
         assert rows._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_fields_are_read_however_their_key_is_spelled(spark):
+    rows = [
+        ('{"value":"1","event_id":"e1"}', "{}"),
+        ('{"v\\u0061lue":"2"}', '{"tr\\u0061ce_id":"t2"}'),
+        ('{"other":"value"}', '{"other":"trace_id"}'),
+    ]
+    raw = spark.createDataFrame(rows, "payload string, metadata string").selectExpr(
+        "'sensors/d/power' AS topic", "payload", "TIMESTAMP'2024-03-01 00:00:00Z' AS received_at", "metadata"
+    )
+    got = normalize.normalize_messages(raw, ("value_text",)).select("value_text", "event_id", "trace_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("1", "e1", None), ("2", None, "t2"), (None, None, None)], key=str)
+
+
+def test_methods_stay_within_what_the_jvm_compiles(spark):
+    from tidemark.session import prepare
+
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "65535")
+        assert prepare(spark).conf.get(limit) == "8000"
+        spark.conf.set(limit, "20000")
+        assert prepare(spark).conf.get(limit) == "20000"
+    finally:
+        spark.conf.set(limit, was)

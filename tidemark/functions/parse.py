@@ -103,7 +103,9 @@ def json_value(marked: Column, text: Column) -> Column:
     or brings elements of its own, cannot leave its hash in the second and last place.
     """
     whole = F.try_variant_get(marked, "$[1]", "bigint") == F.xxhash64(text)
-    return F.when(whole & F.try_variant_get(marked, "$[2]", "variant").isNull(), marked)
+    # A lookup that finds nothing is dear; without a comma of its own a text brings no third element.
+    last = ~text.contains(",") | F.try_variant_get(marked, "$[2]", "variant").isNull()
+    return F.when(whole & last, marked)
 
 
 def object_text(text: Column) -> Column:
@@ -111,14 +113,19 @@ def object_text(text: Column) -> Column:
     return F.when(text.rlike(r"^[ \t\n\r]*\{"), text)
 
 
-def object_field(parsed: Column, name: str) -> Column:
-    """Text of a field of :func:`json_value`; JSON null and absence give NULL."""
-    return F.try_variant_get(parsed, f"$[0].{name}", "string")
+def object_field(parsed: Column, name: str, text: Column | None = None) -> Column:
+    """Text of a field of :func:`json_value`; JSON null and absence give NULL.
+
+    With the ``text`` it was parsed from, a field is looked up only where its key can be: spelled
+    out, or with escapes.
+    """
+    found = F.try_variant_get(parsed, f"$[0].{name}", "string")
+    return found if text is None else F.when(text.contains(name) | text.contains("\\"), found)
 
 
-def overflowed_number(parsed: Column, name: str) -> Column:
+def overflowed_number(parsed: Column, name: str, text: Column | None = None) -> Column:
     """A JSON number too large for a double reads back as infinity."""
     field = F.try_variant_get(parsed, f"$[0].{name}", "variant")
-    return object_field(parsed, name).isin("Infinity", "-Infinity") & (
+    return object_field(parsed, name, text).isin("Infinity", "-Infinity") & (
         F.schema_of_variant(field) != "STRING"
     )

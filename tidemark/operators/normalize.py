@@ -33,7 +33,13 @@ def _decoded(raw: DataFrame) -> DataFrame:
             "_meta": parse.json_value(F.col("_meta"), F.col("metadata")),
         }
     )
-    fields = _text_fields(parsed)
+    # Out of the texts and not inside the ``inline``, whose expressions are not shared.
+    fields = _text_fields(parsed).withColumns(
+        {
+            "_body_sequence": parse.whole_number(F.col("_body_sequence")),
+            "_body_published": parse.moment(F.col("_body_published")),
+        }
+    )
     bad_sequence = (
         F.col("_body_sequence").isNull()
         & F.col("_meta_sequence").isNotNull()
@@ -71,12 +77,12 @@ def _text_fields(parsed: DataFrame) -> DataFrame:
     body, meta = F.col("_body"), F.col("_meta")
 
     def in_body(name: str) -> Column:
-        return parse.object_field(body, name)
+        return parse.object_field(body, name, F.col("payload"))
 
     def in_meta(name: str) -> Column:
-        return parse.object_field(meta, name)
+        return parse.object_field(meta, name, F.col("metadata"))
 
-    overflowed = F.coalesce(parse.overflowed_number(body, "value"), F.lit(False))
+    overflowed = F.coalesce(parse.overflowed_number(body, "value", F.col("payload")), F.lit(False))
     fields = F.struct(
         meta.isNull().alias("_meta_broken"),
         F.when(body.isNull(), F.col("payload"))
@@ -86,8 +92,8 @@ def _text_fields(parsed: DataFrame) -> DataFrame:
             F.coalesce(in_body(name), in_meta(name)).alias(name)
             for name in ("event_id", "trace_id", "publisher_id")
         ],
-        parse.whole_number(in_body("sequence")).alias("_body_sequence"),
-        parse.moment(in_body("published_at")).alias("_body_published"),
+        in_body("sequence").alias("_body_sequence"),
+        in_body("published_at").alias("_body_published"),
         F.nullif(in_meta("sequence"), F.lit("")).alias("_meta_sequence"),
         F.nullif(in_meta("published_at"), F.lit("")).alias("_meta_published"),
         F.lower(F.btrim(F.coalesce(in_meta("topic_kind"), F.lit("")))).alias("topic_kind"),
@@ -202,7 +208,7 @@ def _inventory_fields(raw: DataFrame) -> DataFrame:
     meta = F.col("_meta")
 
     def field(name: str) -> Column:
-        return parse.object_field(meta, name)
+        return parse.object_field(meta, name, F.col("metadata"))
 
     # Out of an ``inline`` as in _text_fields: a filter above does not parse again.
     fields = F.struct(
